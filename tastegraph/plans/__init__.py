@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("base_sql", "ratings")
+MODULES = ("base_sql", "ratings", "text_sql", "text", "profiles")
 
 
 def load():

@@ -40,6 +40,8 @@ def tune(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    # compute-heavy stages over small shuffles should still use every core
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
 
 
 def shared_dir(spark: SparkSession) -> str:
