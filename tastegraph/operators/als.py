@@ -54,8 +54,11 @@ def train(ratings: DataFrame, rank: int = 10, iters: int = 20, reg: float = 1.0,
 
 
 def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
-    """Scores as doubles with the caller's id types; unknown ids give no row."""
-    return model.transform(pairs).withColumn("prediction", F.col("prediction").cast("double"))
+    """Scores as doubles, ids as bigint again; unknown ids give no row."""
+    scored = model.transform(pairs)
+    return scored.withColumns({"userid": F.col("userid").cast("bigint"),
+                               "itemid": F.col("itemid").cast("bigint"),
+                               "prediction": F.col("prediction").cast("double")})
 
 
 def grid_search(train_df: DataFrame, valid: DataFrame, ranks, regs, iters,

@@ -97,8 +97,7 @@ def weighted_scores(contributions: DataFrame, seen: DataFrame, k: int = TOP) ->
     score = F.round(F.try_divide("_ws", "_w"), 9)
     ranked = fresh.select("userid", "itemid", score.alias("score")).where(
         F.col("score").isNotNull() & ~F.isnan("score"))
-    best = top_k(ranked, ["userid"], [F.desc("score"), F.asc("itemid")], k)
-    return best.withColumn("score", F.round("score", 6))
+    return top_k(ranked, ["userid"], [F.desc("score"), F.asc("itemid")], k)
 
 
 def item_cf(ratings: DataFrame, cap_n: int = CAP, neighbours: int = NEIGHBOURS,

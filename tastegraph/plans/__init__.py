@@ -2,7 +2,8 @@
 
 from importlib import import_module
 
-MODULES = ("base_sql", "ratings", "text_sql", "text", "profiles")
+MODULES = ("base_sql", "ratings", "text_sql", "text", "profiles", "inputs", "adlogs", "graphs", "models",
+           "streams")
 
 
 def load():

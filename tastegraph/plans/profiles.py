@@ -60,7 +60,7 @@ def candidate_items(spark, root):
 
 
 @query("content_recommend", f"""
-SELECT x AS itemid, y AS itemid_re, round(score, 6) AS score FROM (
+SELECT x AS itemid, y AS itemid_re, score FROM (
   SELECT *, row_number() OVER (PARTITION BY x ORDER BY score DESC, y) AS rk FROM (
     SELECT a.itemid AS x, b.itemid AS y, round(
       0.4 * g.s + 0.25 * coalesce(t.s, 0.0) + 0.1 * ({YEAR_SIM.format(a='a.year', b='b.year')})
@@ -133,7 +133,7 @@ def item_attributes(spark, root):
 
 
 @query("portrait_recommend", """
-SELECT userid, itemid, round(score, 6) AS score FROM (
+SELECT userid, itemid, score FROM (
   SELECT *, row_number() OVER (PARTITION BY userid ORDER BY score DESC, itemid) AS rk FROM (
     SELECT u.userid, i.itemid, round(
       0.4 * coalesce(g.sim, 0.0) + 0.3 * coalesce(2 * t.p / (sqrt(u.s + t.ca) * sqrt(i.s + t.cb)), 0.0)

@@ -22,7 +22,7 @@ def _capped(spark, root):
 
 def cf_oracle(by: str, target: str, near: str, seen: str) -> str:
     return f"""
-SELECT userid, itemid, round(score, 6) AS score FROM (
+SELECT userid, itemid, score FROM (
   SELECT *, row_number() OVER (PARTITION BY userid ORDER BY score DESC, itemid) AS rk FROM (
     SELECT userid, itemid, round(sum(sim * rate) / sum(sim), 9) AS score FROM (
       SELECT {target}, sim, rate FROM capped c JOIN {near} n ON c.{by} = n.a) h
