@@ -17,20 +17,20 @@ def _cell(value: Column, low: float, width: float, bits: int) -> Column:
     return F.greatest(F.lit(0), F.least(raw, F.lit(cells - 1)))
 
 
-def _spread(cell: Column) -> Column:
-    """Move bit i of a 30-bit cell number to bit 2i."""
-    masks = ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F),
-             (2, 0x3333333333333333), (1, 0x5555555555555555))
-    for shift, mask in masks:
-        cell = cell.bitwiseOR(F.shiftleft(cell, shift)).bitwiseAND(F.lit(mask))
-    return cell
+def geohash(lat: Column, lon: Column, precision: int = 12) -> Column:
+    """Base-32 geohash from integer cell numbers, longitude bit first.
+
+    Each digit picks its five bits straight from the two cell numbers, so the
+    expression grows with ``precision`` only and the cells are shared.
+    """
+    cells = (_cell(lon, -180.0, 360.0, 30), _cell(lat, -90.0, 180.0, 30))
 
+    def digit(i: int) -> Column:
+        bits = [F.shiftright(cells[j % 2], 29 - j // 2).bitwiseAND(F.lit(1))
+                for j in range(5 * i, 5 * i + 5)]
+        value = sum((b * (16 >> n) for n, b in enumerate(bits)), F.lit(1))
+        return F.substring(F.lit(BASE32), value.cast("int"), F.lit(1))
 
-def geohash(lat: Column, lon: Column, precision: int = 12) -> Column:
-    """Base-32 geohash from integer cell numbers, longitude bit first."""
-    bits = _spread(_cell(lon, -180.0, 360.0, 30)) * 2 + _spread(_cell(lat, -90.0, 180.0, 30))
-    digit = lambda i: F.substring(F.lit(BASE32), (F.shiftright(bits, 55 - 5 * i).bitwiseAND(
-        F.lit(31)) + 1).cast("int"), F.lit(1))
     return F.concat(*[digit(i) for i in range(precision)])
 
 
