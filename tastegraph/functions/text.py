@@ -29,3 +29,8 @@ def genre_tokens(genre: Column, limit: int = 10) -> Column:
 def word_count(text: Column) -> Column:
     """Words separated by single blanks; trailing blanks do not count."""
     return F.size(F.split(F.rtrim(text), " "))
+
+
+def literal_pattern(sep: str) -> str:
+    """Regex that matches ``sep`` literally; one plain character splits without a regex."""
+    return "".join(f"\\{c}" if c in r".$|()[{^?*+\\" else c for c in sep)

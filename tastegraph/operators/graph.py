@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import literal_pattern
 from ..session import materialize
 from .ranking import chunked_lists
 
 
 def adjacency_edges(lines: DataFrame, sep: str = ",") -> DataFrame:
     """``(src, dst)``: the first name of a line to every name of it; blanks dropped."""
-    names = F.filter(F.split("value", f"\\Q{sep}\\E", -1), lambda n: n != "")
+    names = F.filter(F.split("value", literal_pattern(sep), -1), lambda n: n != "")
     named = lines.select(names.alias("names")).where(F.size("names") > 0)
     return named.select(F.col("names")[0].alias("src"), F.explode("names").alias("dst")).distinct()
 
@@ -47,7 +48,7 @@ def _large_star(links: DataFrame) -> DataFrame:
         F.struct(F.col("dst").alias("u"), F.col("src").alias("v")))).alias("e")).select("e.*")
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     return both.where(F.col("v") > F.col("u")).join(least, "u").select(
-        F.col("v").alias("src"), F.col("m").alias("dst")).where(F.col("src") != F.col("dst")).distinct()
+        F.col("v").alias("src"), F.col("m").alias("dst")).where(F.col("src") != F.col("dst"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:

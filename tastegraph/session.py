@@ -77,6 +77,15 @@ def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core for heavy per-row work when the input has too few splits.
+
+    A no-op for inputs with enough files, so a large scan is never reshuffled.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(2 * slots) if df.rdd.getNumPartitions() < slots else df
+
+
 def prepare_checkpoints(spark: SparkSession) -> None:
     """Give iterative estimators a reliable checkpoint folder when none is set."""
     if not spark.conf.get("spark.checkpoint.dir", None):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.casts import to_double, to_int
+from ..functions.text import literal_pattern
 
 # Log columns in file order; i = int, d = double, s = string.
 AD_LOG_COLUMNS = """
@@ -33,7 +34,7 @@ def parse_ad_logs(lines: DataFrame, sep: str = ",") -> DataFrame:
 
     A numeric field that does not parse is 0.
     """
-    parts = F.split("value", f"\\Q{sep}\\E", -1)
+    parts = F.split("value", literal_pattern(sep), -1)
     convert = {"i": to_int, "d": to_double, "s": lambda c: c}
     fields = lines.select(parts.alias("f")).where(F.size("f") >= len(AD_LOG_FIELDS))
     return fields.select(*[convert[k](F.col("f")[i]).alias(n)

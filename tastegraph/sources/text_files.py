@@ -6,11 +6,9 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-RATING_TYPES = (("userid", "bigint"), ("itemid", "bigint"), ("rate", "double"), ("ts", "bigint"))
-
+from ..functions.text import literal_pattern
 
-def _quoted(sep: str) -> str:
-    return f"\\Q{sep}\\E"
+RATING_TYPES = (("userid", "bigint"), ("itemid", "bigint"), ("rate", "double"), ("ts", "bigint"))
 
 
 def _typed(parts: Column, types=RATING_TYPES) -> list[Column]:
@@ -19,7 +17,7 @@ def _typed(parts: Column, types=RATING_TYPES) -> list[Column]:
 
 def parse_ratings(lines: DataFrame, sep: str = "::", on_bad: str = "raise") -> DataFrame:
     """Exactly four fields per line.  ``on_bad='drop'`` skips lines that do not parse."""
-    parts = F.split("value", _quoted(sep), -1)
+    parts = F.split("value", literal_pattern(sep), -1)
     rows = lines.select("value", parts.alias("p")).select(
         "value", F.size("p").alias("n"), *[
             F.when(F.size("p") == 4, F.trim(F.get("p", F.lit(i))).try_cast(t)).alias(c)
@@ -51,14 +49,14 @@ def read_behaviour_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_catalogue(spark: SparkSession, path: str, sep: str = "::") -> DataFrame:
-    parts = F.split("value", _quoted(sep), -1)
+    parts = F.split("value", literal_pattern(sep), -1)
     return spark.read.text(path).select(parts[0].try_cast("bigint").alias("itemid"),
                                         parts[1].alias("title"))
 
 
 def read_personal_ratings(spark: SparkSession, path: str, sep: str = "::") -> DataFrame:
     """Ratings above zero; fails when the user rated nothing."""
-    parts = F.split("value", _quoted(sep), -1)
+    parts = F.split("value", literal_pattern(sep), -1)
     rated = spark.read.text(path).select(
         parts[0].try_cast("bigint").alias("userid"), parts[1].try_cast("bigint").alias("itemid"),
         parts[2].try_cast("double").alias("rate")).where(F.col("rate") > 0)
@@ -69,7 +67,7 @@ def read_personal_ratings(spark: SparkSession, path: str, sep: str = "::") -> Da
 
 def parse_app_dict(lines: DataFrame, sep: str = ",") -> DataFrame:
     """``(appid, appname)`` from fields 1 and 2 of lines with at least five fields."""
-    parts = F.split("value", _quoted(sep), -1)
+    parts = F.split("value", literal_pattern(sep), -1)
     return lines.select(parts.alias("p")).where(F.size("p") >= 5).select(
         F.col("p")[1].alias("appid"), F.col("p")[2].alias("appname"))
 

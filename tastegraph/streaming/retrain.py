@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.text import literal_pattern
 from ..operators import als
 
 HISTORY_SCHEMA = "userid bigint, itemid bigint, rate double, ts bigint, batch_id bigint"
@@ -23,7 +24,7 @@ def behaviour_stream(spark: SparkSession, fmt: str, options: dict[str, str],
 
 def parse_behaviour(lines: DataFrame, sep: str = ",") -> DataFrame:
     """``user,item,score,ts`` lines; those that do not parse are dropped."""
-    p = F.split("value", f"\\Q{sep}\\E", -1)
+    p = F.split("value", literal_pattern(sep), -1)
     field = lambda i, t: F.get(p, F.lit(i)).try_cast(t)
     rows = lines.select(field(0, "bigint").alias("userid"), field(1, "bigint").alias("itemid"),
                         field(2, "double").alias("rate"), field(3, "bigint").alias("ts"))

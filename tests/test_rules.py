@@ -1,0 +1,184 @@
+"""Hand-computed cases for single rules."""
+
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from tastegraph.functions import adlog, casts, geo, similarity as S, text
+from tastegraph.operators import als, evaluate, graph, keywords, tags
+from tastegraph.operators.ranking import chunked_lists, top_k
+from tastegraph.sources import adlogs, sinks, text_files
+
+
+def values(spark, **columns):
+    return spark.range(1).select(*[c.alias(n) for n, c in columns.items()]).first().asDict()
+
+
+def test_title_years(spark):
+    df = spark.createDataFrame([("Eyes (1999)",), ("Eyes(1999)",), ("A (1980) B (1991)",), ("None",)], "t string")
+    rows = df.select(text.title_year(F.col("t")), text.loose_title_year(F.col("t"))).collect()
+    assert [tuple(r) for r in rows] == [(1999, 1999), (1994, 1999), (1991, 1991), (1994, None)]
+
+
+def test_word_count_and_genres(spark):
+    got = values(spark, a=text.word_count(F.lit("a b  ")), b=text.word_count(F.lit("a  b")),
+                 g=text.genre_tokens(F.lit("A|B"), 1))
+    assert got == {"a": 2, "b": 3, "g": ["A"]}
+
+
+def test_similarities(spark):
+    arr = lambda *xs: F.array(*[F.lit(x) for x in xs])
+    got = values(spark, l=S.list_cosine(arr("a", "b"), arr("b", "c")), y=S.year(F.lit(1990), F.lit(1997)),
+                 far=S.year(F.lit(1990), F.lit(2001)), r=S.rate(F.lit(6.0)),
+                 absent=S.profile_key(F.lit(None).cast("double"), F.lit(2.0)),
+                 flat=S.correlation(*[F.lit(float(v)) for v in (2, 8, 4, 4, 8, 8)]))
+    assert got["l"] == pytest.approx(2 / 3) and got["y"] == pytest.approx(0.3)
+    assert (got["far"], got["r"], got["absent"], got["flat"]) == (0.0, 1.0, 0.0, None)
+
+
+def test_casts(spark):
+    got = values(spark, d=casts.to_double(F.lit("x")), i=casts.to_int(F.lit("7.9")), n=casts.to_int(F.lit("")))
+    assert got == {"d": 0.0, "i": 7, "n": 0}
+
+
+def test_tag_merge_takes_shortest_close_tag(spark):
+    df = spark.createDataFrame([("econom",), ("economy 10",), ("economy 0",), ("eco",), ("a b",)], "tag string")
+    got = {r["tag"]: r["merged"] for r in tags.merges(df).collect()}
+    # "economy 0" has 9 bytes and needs 7 in common; "econom" offers 6
+    assert got == {}
+    df = spark.createDataFrame([("economy",), ("economy 10",), ("economy 0",), ("eco",)], "tag string")
+    assert {r["tag"]: r["merged"] for r in tags.merges(df).collect()} == {"economy": "economy 0"}
+
+
+def test_keywords_whole_text_and_copies(spark):
+    body = "red ring red gold gold red silver"
+    df = spark.createDataFrame([(1, body), (2, body), (3, "the of"), (4, None)], "id int, t string")
+    got = {r["id"]: r["keywords"] for r in keywords.attach_keywords(df, "t", k=2).collect()}
+    assert got[1] == got[2] and len(got[1].split()) == 2 and "red" in got[1]
+    assert got[3] == "" and got[4] is None
+
+
+def test_keywords_against_plain_textrank(spark):
+    body = "alpha beta gamma delta alpha epsilon zeta beta eta theta alpha iota"
+    words = body.split()
+    near = {w: set() for w in words}
+    for i, u in enumerate(words):
+        for v in words[i + 1:i + 5]:
+            if u != v:
+                near[u].add(v)
+                near[v].add(u)
+    score = dict.fromkeys(near, 1.0)
+    for _ in range(10):
+        score = {v: 0.15 + 0.85 * sum(score[u] / len(near[u]) for u in near[v]) for v in near}
+    best = sorted(near, key=lambda v: (-round(score[v], 9), v))[:4]
+    df = spark.createDataFrame([(body,)], "t string")
+    assert keywords.attach_keywords(df, "t", k=4).first()["keywords"] == " ".join(sorted(best))
+
+
+def test_geohash_and_signature(spark):
+    got = values(spark, h=geo.geohash(F.lit(57.64911), F.lit(10.40744)),
+                 edge=geo.geohash(F.lit(90.0), F.lit(180.0), 4),
+                 sn=geo.signed(geo.query_string([("address", F.lit("百度大厦")), ("output", F.lit("json")),
+                                                 ("ak", F.lit("yourak"))]), "yoursk"))
+    assert got == {"h": "u4pruydqqvj8", "edge": "zzzz", "sn": "7de5a22212ffaa9e326444c75a58f9a0"}
+
+
+def test_business_answers(spark):
+    rows = [('{"status":0,"result":{"business":"A","pois":[{"tag":"x"}]}}', "A"),
+            ('{"status":0,"result":{"business":"","pois":[{"tag":"x"},{"tag":""},{"tag":"y"}]}}', "xy"),
+            ('{"status":1,"result":{"business":"A"}}', ""), (" ", ""), ("", ""),
+            ('{"status":0,"result":{"business":" "}}', "")]
+    df = spark.createDataFrame(rows, "j string, want string")
+    assert all(r["got"] == r["want"] for r in df.withColumn("got", geo.business_from_json(F.col("j"))).collect())
+
+
+def ad_row(spark, **fields):
+    base = {n: "" for n, _ in adlogs.AD_LOG_FIELDS} | fields
+    line = ",".join(base[n] for n, _ in adlogs.AD_LOG_FIELDS)
+    return adlogs.parse_ad_logs(spark.createDataFrame([(line,), ("too,short",)], "value string"))
+
+
+def test_ad_log_schema_and_identity(spark):
+    df = ad_row(spark, imei="7", macsha1="s", adprice="1.5", pw="?")
+    assert len(df.schema) == 85
+    assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in adlogs.AD_LOG_SCHEMA]
+    r = df.select("adprice", "pw", adlog.primary_id().alias("id"), adlog.all_ids().alias("all"),
+                  adlog.has_id().alias("has")).collect()
+    assert [tuple(x) for x in r] == [(1.5, 0, "macsha1:s", ["macsha1:s", "imei:7"], True)]
+    none = ad_row(spark).select(adlog.primary_id(), adlog.all_ids(), adlog.has_id()).first()
+    assert tuple(none) == (None, [], False)
+
+
+def test_kpis_bid_and_win_counts_as_bid(spark):
+    flags = dict(requestmode="2", iseffective="1", isbilling="1", iswin="1", adpayment="500", winprice="2000")
+    both = ad_row(spark, isbid="1", adorderid="3", **flags).select(*adlog.kpi_columns()).first()
+    assert (both["bids"], both["wins"], both["cost"], both["shows"]) == (1, 0, 0, 1)
+    win = ad_row(spark, isbid="1", adorderid="0", **flags).select(*adlog.kpi_columns()).first()
+    assert (win["bids"], win["wins"], win["payment"], win["cost"]) == (0, 1, 0.5, 2.0)
+
+
+def test_rating_lines(spark):
+    df = spark.createDataFrame([("1::2::3.5::9",), ("1::2::3",), ("a::2::3::4",)], "value string")
+    assert [tuple(r) for r in text_files.parse_ratings(df, on_bad="drop").collect()] == [(1, 2, 3.5, 9)]
+    with pytest.raises(Exception, match="bad rating line"):
+        text_files.parse_ratings(df).collect()
+
+
+def test_personal_ratings_need_one(spark, tmp_path):
+    spark.createDataFrame([("1::2::0",)], "value string").write.text(str(tmp_path / "p"))
+    with pytest.raises(ValueError):
+        text_files.read_personal_ratings(spark, str(tmp_path / "p"))
+
+
+def test_two_error_denominators_and_baseline(spark):
+    actual = spark.createDataFrame([(1, 1, 3.0), (1, 2, 5.0)], "userid long, itemid long, rate double")
+    pred = spark.createDataFrame([(1, 1, 1.0)], "userid long, itemid long, prediction double")
+    assert evaluate.rmse(pred, actual).first()[0] == 2.0
+    assert evaluate.rmse(pred, actual, "all").first()[0] == pytest.approx(math.sqrt(2))
+    rows = spark.createDataFrame([(1.0, "train"), (3.0, "validation"), (4.0, "test"), (2.0, "test")],
+                                 "rate double, split string")
+    got = evaluate.baseline(rows).first()
+    assert got["mean_rate"] == 2.0 and got["baseline_rmse"] == pytest.approx(math.sqrt(2))
+
+
+def test_time_split_bounds(spark):
+    df = spark.range(10).withColumnRenamed("id", "ts")
+    label = lambda start: [r[0] for r in df.orderBy("ts").select(evaluate.time_split_label(F.col("ts"), start)).collect()]
+    assert label(8)[6:] == ["validation", "validation", "test", "test"]
+    assert label(9)[8:] == [None, "test"]
+
+
+def test_training_set_counts_personal_rows_twice(spark):
+    r = spark.createDataFrame([(1, 1, 3.0, 0), (2, 1, 4.0, 9)], "userid long, itemid long, rate double, ts long")
+    assert als.training_set(r, r.where("userid = 1")).count() == 2
+
+
+def test_upsert_last_write_wins(spark):
+    new = spark.createDataFrame([("a", "y", 2), ("a", "x", 1), ("c", "z", 1)], "key string, value string, seq long")
+    old = spark.createDataFrame([("a", "o", 0), ("b", "o", 0)], "key string, value string, seq long")
+    got = {r["key"]: r["value"] for r in sinks.upsert_dict(new, old).collect()}
+    assert got == {"a": "y", "b": "o", "c": "z"}
+
+
+def test_components_chain_hub_and_single(spark):
+    chain = [f"n{i:03d},n{i + 1:03d}" for i in range(60)]
+    hub = ["z," + ",".join(f"h{i}" for i in range(50))]
+    lines = spark.createDataFrame([(v,) for v in chain + hub + ["alone", ",", "solo,,solo"]], "value string")
+    got = {r["vertex"]: r["component"] for r in graph.components(graph.adjacency_edges(lines)).collect()}
+    assert {got[f"n{i:03d}"] for i in range(61)} == {"n000"}
+    assert {got[f"h{i}"] for i in range(50)} | {got["z"]} == {"h0"}
+    assert got["alone"] == "alone" and got["solo"] == "solo" and "" not in got
+
+
+def test_chunks_keep_every_value(spark):
+    df = spark.range(2500).select(F.lit(1).alias("k"), F.col("id").alias("v"))
+    parts = chunked_lists(df, "k", "v", 100).collect()
+    assert len(parts) > 20 and sorted(v for p in parts for v in p["values"]) == list(range(2500))
+
+
+def test_top_k_limits_before_the_exchange(spark, capsys):
+    df = top_k(spark.range(100).withColumn("k", F.col("id") % 3), ["k"], [F.asc("id")], 2)
+    df.explain()
+    plan = capsys.readouterr().out
+    assert plan.count("WindowGroupLimit") == 2 and df.count() == 6
