@@ -37,12 +37,13 @@ def year(a: Column, b: Column, span: int = 10) -> Column:
 
 
 def rate(r: Column, top: float = 5.0) -> Column:
-    return F.least(r / F.lit(top), F.lit(1.0))
+    # ``least`` skips NULLs, so an unknown rate is kept NULL explicitly
+    return F.when(r.isNotNull(), F.least(r / F.lit(top), F.lit(1.0)))
 
 
 def profile_key(w: Column, max_w: Column) -> Column:
     """Weight of a profile entry relative to the strongest one, 0 when absent."""
-    return F.coalesce(F.least(w / max_w, F.lit(1.0)), F.lit(0.0))
+    return F.when(w.isNotNull(), F.least(w / max_w, F.lit(1.0))).otherwise(F.lit(0.0))
 
 
 def doubled_cosine(dot: Column, sum_a: Column, sum_b: Column,

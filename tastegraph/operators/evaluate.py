@@ -34,7 +34,8 @@ def item_means(train: DataFrame) -> DataFrame:
 
 
 def clip01(c: Column) -> Column:
-    return F.greatest(F.least(c, F.lit(1.0)), F.lit(0.0))
+    """NULL stays NULL: ``least`` and ``greatest`` alone would skip it."""
+    return F.when(c.isNotNull(), F.greatest(F.least(c, F.lit(1.0)), F.lit(0.0)))
 
 
 def join_predictions(predictions: DataFrame, actual: DataFrame) -> DataFrame:

@@ -182,3 +182,9 @@ def test_top_k_limits_before_the_exchange(spark, capsys):
     df.explain()
     plan = capsys.readouterr().out
     assert plan.count("WindowGroupLimit") == 2 and df.count() == 6
+
+
+def test_clipped_error_ignores_unscored_rows(spark):
+    df = spark.createDataFrame([(1.0, 3.0), (0.0, None)], "rate double, prediction double")
+    got = evaluate.errors(df, clip=True).first()
+    assert (got["n_all"], got["n_matched"], got["mse"]) == (2, 1, 0.0)
