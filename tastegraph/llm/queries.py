@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import tune
-from . import langid, mixing, packing, quality, rollups, simhash, toxicity, urlfilter
+from . import langid, mixing, packing, pathjoin, permindex, quality, rollups, simhash, toxicity, urlfilter
 
 
 def tuned(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -20,6 +20,7 @@ def tuned(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 
 
 QUERIES = {fn.__name__: tuned(fn) for fn in (
-    mixing.op1_mix, langid.op2_language, toxicity.op4_toxicity, simhash.op5_simhash, quality.op6_quality,
-    packing.op7_pack, rollups.op8_token_rollup, urlfilter.op9_url_filter)}
+    mixing.op1_mix, langid.op2_language, pathjoin.op3_near_duplicates, toxicity.op4_toxicity,
+    simhash.op5_simhash, quality.op6_quality, packing.op7_pack, rollups.op8_token_rollup,
+    urlfilter.op9_url_filter, permindex.op10_nearest)}
 ORACLES = {"op1_mix": mixing.ORACLE, "op8_token_rollup": rollups.ORACLE, "op9_url_filter": urlfilter.ORACLE}
