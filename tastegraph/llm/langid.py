@@ -147,17 +147,16 @@ def learn(docs: DataFrame) -> Model:
     return fit(docs.where(id_mod(F.col("doc_id"), 5) != 0))
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``lang_pred``, ``score`` (share of that language, 0 to 1) and ``mixture`` added.
+def guess(model: Model, text: Column) -> Column:
+    """Struct of ``lang_pred``, ``score`` (share of that language, 0 to 1) and ``mixture``.
 
     A null text, one without a letter, or a model that learned nothing gives ``und`` and 0.
     Letters but no known trigram: the most frequent language, with its prior as the score.
     """
-    predict: Column = classifier(model)(F.col("text"))
-    return docs.withColumn("_lang", predict).select("*", "_lang.*").drop("_lang")
+    return classifier(model)(text)
 
 
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang")
-    return identify(docs.select("doc_id", "text"), learn(docs)).select(
-        "doc_id", (id_mod(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score", "mixture")
+    return docs.select("doc_id", (id_mod(F.col("doc_id"), 5) == 0).alias("held_out"),
+                       guess(learn(docs), F.col("text")).alias("g")).select("doc_id", "held_out", "g.*")

@@ -66,7 +66,12 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: float = MOST,
     Repeated rows are documents of their own, in any order among themselves.  An empty
     table gives an empty one.  ``copies`` never exceeds ``most`` rounded up.
     """
-    sizes = materialize(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix-sizes")
+    return mix_sizes(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), weights, most, seed)
+
+
+def mix_sizes(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, most: float = MOST, seed: int = SEED) -> DataFrame:
+    """As :func:`mix`, from rows ``(doc_id, source, size)``."""
+    sizes = materialize(sizes, "mix-sizes")
     goal = targets(sizes, weights, most).withColumnRenamed("source", "_source")
     ranked = numbered(sizes, ["source"], ["size", "doc_id"], "mix-order")
     per = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
@@ -82,13 +87,14 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: float = MOST,
 def emit(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: float = MOST, seed: int = SEED) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes its document.
 
-    Documents are told apart by doc_id; rows with an id that came before are left
-    out, and so are rows without an id.
+    Documents are told apart by doc_id: of rows that share one, one is left, and rows without
+    an id are left out.
     """
-    own = docs.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
-    taken = mix(own, weights, most, seed).where(F.col("copies") > 0).select(
-        F.col("doc_id").alias("_mix_id"), F.col("copies").alias("_mix_copies"))
-    return (own.join(taken, F.col("doc_id") == F.col("_mix_id"))
+    own = docs.where(F.col("doc_id").isNotNull())
+    sizes = own.groupBy("doc_id").agg(F.min(F.struct("source", word_count(F.col("text")).alias("size"))).alias("s"))
+    taken = mix_sizes(sizes.select("doc_id", "s.source", "s.size"), weights, most, seed).where(
+        F.col("copies") > 0).select(F.col("doc_id").alias("_mix_id"), F.col("copies").alias("_mix_copies"))
+    return (own.join(taken, F.col("doc_id") == F.col("_mix_id")).dropDuplicates(["doc_id"])
             .withColumn("_mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix_copies"))))
             .select(*docs.columns))
 
