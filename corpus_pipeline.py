@@ -9,11 +9,36 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tastegraph.llm import mixing, packing
+from tastegraph.llm import langid, mixing, packing, pathjoin, quality
 from tastegraph.llm.common import read
 from tastegraph.session import materialize, tune
 
+#: A document goes when its main language has less than this share of it.
+MAIN_LANGUAGE = 0.5
+
+
+def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of one main language; those without letters, without text or of no main language go."""
+    found = langid.guess(langid.learn(docs), F.col("text"))
+    return docs.where((found["lang_pred"] != langid.UNKNOWN) & (found["score"] >= MAIN_LANGUAGE))
+
+
+def of_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, fitted on the labels of what has come this far, calls good."""
+    score = quality.scorer(quality.learn(docs, read(spark, sf_dir, "labels", "doc_id", "quality")))
+    return docs.where(score(F.col("text")) >= quality.THRESHOLD)
+
+
+def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group of near copies, by five-word shingles and a similarity of 0.8.
+
+    Rows that share an id are one document; rows without an id go.
+    """
+    kept = pathjoin.join(docs, percent=80, width=5).where("kept").select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the target weights of the sources ask for."""
@@ -26,6 +51,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language", in_a_language), ("quality", of_quality), ("near duplicates", deduplicated),
     ("source mix", mixed), ("packing", packed)]
 
 #: SQL has neither the classifiers, the similarity join nor the tokenizer.
