@@ -119,7 +119,7 @@ def train(labels: np.ndarray, rows: list[np.ndarray]) -> Model:
         own = [rows[i] for i in part]
         r = ratios(own, y[part])
         w = descend(own, r, y[part])
-        mean = np.abs(w[:-1][r != 0]).mean()
+        mean = np.abs(w[:-1][r != 0]).sum() / max(1, np.count_nonzero(r))
         return r * ((1 - SMOOTH) * mean + SMOOTH * w[:-1]), w[-1]
 
     # margins of documents the weights were not fitted on show how sure a margin makes us
