@@ -2,31 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import similarity as S
 from ..session import materialize
+from .neighbours import NEIGHBOURS, item_neighbours, user_neighbours
 from .ranking import top_k, with_key_count
 
-CAP, NEIGHBOURS, TOP = 100, 50, 20
+TOP = 20
 
 
-def cap(ratings: DataFrame, n: int = CAP) -> DataFrame:
-    """Best-rated ``n`` rows per user; bounds the quadratic pair step."""
-    return top_k(ratings.select("userid", "itemid", "rate"), ["userid"],
-                 [F.desc("rate"), F.asc("itemid")], n)
+def cap(ratings: DataFrame, n: int | None = None) -> DataFrame:
+    """The best-rated ``n`` rows per user; all rows if ``n`` is not given."""
+    rows = ratings.select("userid", "itemid", "rate")
+    return rows if n is None else top_k(rows, ["userid"], [F.desc("rate"), F.asc("itemid")], n)
 
 
-def with_counts(capped: DataFrame) -> DataFrame:
-    """Attach capped rows per user and per item.
-
-    A capped user has a bounded number of rows, so its count is a window over
-    the partitioning the cap already made; items are unbounded and are counted
-    by aggregation.
-    """
-    per_user = capped.withColumn("n_user", F.count("*").over(Window.partitionBy("userid")))
-    return with_key_count(per_user, "itemid", "n_item")
+def with_counts(ratings: DataFrame) -> DataFrame:
+    """Attach rows per user and per item, counted by aggregation."""
+    return with_key_count(with_key_count(ratings, "userid", "n_user"), "itemid", "n_item")
 
 
 def pair_stats(counted: DataFrame, entity: str, by: str, count: str) -> DataFrame:
@@ -36,6 +31,10 @@ def pair_stats(counted: DataFrame, entity: str, by: str, count: str) -> DataFram
     other = side.select("_k", F.col("a").alias("b"), F.col("x").alias("y"),
                         F.col("na").alias("nb"))
     pairs = side.join(other, (side["_k"] == other["_k"]) & (side["a"] < other["b"]))
+    return _pair_sums(pairs)
+
+
+def _pair_sums(pairs: DataFrame) -> DataFrame:
     x, y = F.col("x"), F.col("y")
     return pairs.groupBy("a", "b").agg(
         F.count("*").alias("size"), F.sum(x * y).alias("dot"),
@@ -44,19 +43,17 @@ def pair_stats(counted: DataFrame, entity: str, by: str, count: str) -> DataFram
         F.max("na").alias("na"), F.max("nb").alias("nb"))
 
 
-def item_pair_stats(capped: DataFrame) -> DataFrame:
-    """Pairs inside one user's capped ratings: at most cap²/2 per user."""
-    return pair_stats(with_key_count(capped, "itemid", "n"), "itemid", "userid", "n")
-
+def kept_pair_stats(ratings: DataFrame, near: DataFrame, entity: str, by: str) -> DataFrame:
+    """The same sums for the pairs of a neighbour list ``near(a, b)``, each pair once as ``a < b``.
 
-def user_pair_stats(capped: DataFrame) -> DataFrame:
-    """All pairs of users who share an item.
-
-    The result itself is every co-rating pair.  Jobs that only need each user's
-    best neighbours use :func:`..neighbours.user_neighbours`, which prunes.
+    Pairs meet the ratings of one side, then those of the other by both keys: the work is
+    the pairs times the ratings of ``a``, with no pairing inside a popular key.
     """
-    per_user = capped.withColumn("n", F.count("*").over(Window.partitionBy("userid")))
-    return pair_stats(per_user, "userid", "itemid", "n")
+    pairs = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    rows = with_key_count(ratings, entity, "n")
+    left = rows.select(F.col(entity).alias("a"), F.col(by).alias("_k"), F.col("rate").alias("x"), F.col("n").alias("na"))
+    right = rows.select(F.col(entity).alias("b"), F.col(by).alias("_k"), F.col("rate").alias("y"), F.col("n").alias("nb"))
+    return _pair_sums(pairs.join(left, "a").join(right, ["b", "_k"]))
 
 
 def pair_similarity(size: Column, dot: Column, sxx: Column, syy: Column,
@@ -74,17 +71,6 @@ def mirror(stats: DataFrame) -> DataFrame:
     return stats.select(F.explode(F.array(half, swap)).alias("p")).select("p.*")
 
 
-def rank_neighbours(stats: DataFrame, k: int = NEIGHBOURS) -> DataFrame:
-    """``(a, b, sim)``: the ``k`` most similar ``b`` of each ``a``."""
-    sim = pair_similarity(*[F.col(c) for c in ("size", "dot", "sxx", "syy", "na", "nb")])
-    scored = mirror(stats).select("a", "b", sim.alias("sim"))
-    return top_k(scored, ["a"], [F.desc("sim"), F.asc("b")], k)
-
-
-def item_neighbours(capped: DataFrame, k: int = NEIGHBOURS) -> DataFrame:
-    return rank_neighbours(item_pair_stats(capped), k)
-
-
 def weighted_scores(contributions: DataFrame, seen: DataFrame, k: int = TOP) -> DataFrame:
     """Weighted mean per (user, item), minus seen pairs, best ``k`` per user.
 
@@ -100,25 +86,47 @@ def weighted_scores(contributions: DataFrame, seen: DataFrame, k: int = TOP) ->
     return top_k(ranked, ["userid"], [F.desc("score"), F.asc("itemid")], k)
 
 
-def item_cf(ratings: DataFrame, cap_n: int = CAP, neighbours: int = NEIGHBOURS,
+def item_cf(ratings: DataFrame, cap_n: int | None = None, neighbours: int = NEIGHBOURS,
             k: int = TOP) -> DataFrame:
-    """Score ``j`` for ``u`` from the items ``i`` that ``u`` rated and ``i -> j``."""
-    capped = materialize(cap(ratings, cap_n), "capped")
-    near = item_neighbours(capped, neighbours)
-    hits = capped.join(near, capped["itemid"] == near["a"]).select(
+    """Score ``j`` for ``u`` from the items ``i`` that ``u`` rated and ``i -> j``.
+
+    ``cap_n``: keep only each user's best-rated rows; by default all count.
+    """
+    kept = materialize(cap(ratings, cap_n), "cf-ratings")
+    near = item_neighbours(kept, neighbours)
+    hits = kept.join(near, kept["itemid"] == near["a"]).select(
         "userid", F.col("b").alias("itemid"), F.col("sim").alias("w"),
         (F.col("sim") * F.col("rate")).alias("ws"))
     return weighted_scores(hits, ratings, k)
 
 
-def user_cf(ratings: DataFrame, cap_n: int = CAP, neighbours: int = NEIGHBOURS,
+def user_cf(ratings: DataFrame, cap_n: int | None = None, neighbours: int = NEIGHBOURS,
             k: int = TOP) -> DataFrame:
-    """A rating of ``u`` is pushed to ``u``'s neighbours."""
-    from .neighbours import user_neighbours
-
-    capped = materialize(cap(ratings, cap_n), "capped")
-    near = user_neighbours(capped, neighbours)
-    hits = capped.join(near, capped["userid"] == near["a"]).select(
+    """A rating of ``u`` is pushed to ``u``'s neighbours.  ``cap_n`` as in :func:`item_cf`."""
+    kept = materialize(cap(ratings, cap_n), "cf-ratings")
+    near = user_neighbours(kept, neighbours)
+    hits = kept.join(near, kept["userid"] == near["a"]).select(
         F.col("b").alias("userid"), "itemid", F.col("sim").alias("w"),
         (F.col("sim") * F.col("rate")).alias("ws"))
-    return weighted_scores(hits, capped, k)
+    return weighted_scores(hits, kept, k)
+
+
+def item_cf_for(ratings: DataFrame, users: DataFrame, neighbours: int = NEIGHBOURS, k: int = TOP) -> DataFrame:
+    """:func:`item_cf` for some users: only items that they rated get their neighbours.
+
+    Pairs are formed on the full ratings with such an item on one side.
+    """
+    kept = materialize(cap(ratings), "cf-ratings")
+    own = kept.join(users.select("userid"), "userid", "left_semi")
+    wanted = own.select("itemid").distinct()
+    counted = with_key_count(kept, "itemid", "n")
+    left = counted.join(wanted, "itemid", "left_semi").select(
+        F.col("userid").alias("_k"), F.col("itemid").alias("a"), F.col("rate").alias("x"), F.col("n").alias("na"))
+    right = counted.select(F.col("userid").alias("_k"), F.col("itemid").alias("b"), F.col("rate").alias("y"),
+                           F.col("n").alias("nb"))
+    stats = _pair_sums(left.join(right, "_k").where(F.col("a") != F.col("b")))
+    sim = pair_similarity(*[F.col(c) for c in ("size", "dot", "sxx", "syy", "na", "nb")])
+    near = top_k(stats.select("a", "b", sim.alias("sim")), ["a"], [F.desc("sim"), F.asc("b")], neighbours)
+    hits = own.join(near, own["itemid"] == near["a"]).select(
+        "userid", F.col("b").alias("itemid"), F.col("sim").alias("w"), (F.col("sim") * F.col("rate")).alias("ws"))
+    return weighted_scores(hits, own, k)

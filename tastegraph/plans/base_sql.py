@@ -35,7 +35,7 @@ WHERE rk <= 30""")
 
 cte("counted", """
 SELECT *, count(*) OVER (PARTITION BY userid) AS n_user,
-       count(*) OVER (PARTITION BY itemid) AS n_item FROM capped""")
+       count(*) OVER (PARTITION BY itemid) AS n_item FROM ratings""")
 
 for entity, by, short in (("itemid", "userid", "item"), ("userid", "itemid", "user")):
     cte(f"{short}_pairs", f"""
@@ -50,6 +50,9 @@ SELECT a, b, sim FROM (
     FROM (SELECT a, b, size, dot, sxx, syy, na, nb FROM {short}_pairs
           UNION ALL SELECT b, a, size, dot, syy, sxx, nb, na FROM {short}_pairs)))
 WHERE rk <= 50""")
+    cte(f"{short}_kept", f"""
+SELECT p.* FROM {short}_pairs p JOIN (SELECT DISTINCT least(a, b) AS a, greatest(a, b) AS b FROM {short}_near) n
+ON p.a = n.a AND p.b = n.b""")
 
 cte("splits", """
 SELECT *, CASE WHEN ts % 10 < 6 THEN 'train' WHEN ts % 10 < 8 THEN 'validation' ELSE 'test' END AS split

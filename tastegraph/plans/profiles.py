@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from ..functions import similarity as S
 from ..functions.text import genre_tokens, title_year
 from ..operators import blend, cf, content, portrait, tags
+from ..session import materialize
 from ..sources.tables import load_items, load_ratings, load_tags
 from . import base_sql, text_sql  # noqa: F401
-from .ratings import CAP
 from .registry import cte, query
 from .text import YEAR
 
@@ -154,7 +154,7 @@ def portrait_recommend(spark, root):
 
 
 def _near_items(spark, root):
-    return cf.item_neighbours(cf.cap(load_ratings(spark, root), CAP)).select("a", "b")
+    return cf.item_neighbours(materialize(cf.cap(load_ratings(spark, root)), "ratings")).select("a", "b")
 
 
 def _both(pairs, features):

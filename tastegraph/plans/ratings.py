@@ -6,18 +6,24 @@ from pyspark.sql import functions as F
 
 from ..functions import similarity as S
 from ..operators import cf, evaluate
-from ..operators.neighbours import user_neighbours
+from ..operators.neighbours import item_neighbours, user_neighbours
 from ..operators.ranking import chunked_lists
 from ..session import materialize
 from ..sources.tables import load_items, load_ratings
 from . import base_sql  # noqa: F401
 from .registry import query
 
-CAP = 30  # the fixtures hold at most 90 ratings per user, so a lower cap makes it bite
+CAP = 30  # of ratings_capped alone: the fixtures hold at most 90 ratings per user, so 100 would not bite
+POSTING = 46  # of user_neighbours_lists: items of the fixtures have up to 49 raters, so some become lists
 
 
-def _capped(spark, root):
-    return cf.cap(load_ratings(spark, root), CAP)
+def _stored(spark, root):
+    return materialize(cf.cap(load_ratings(spark, root)), "ratings")
+
+
+def _item_pairs(spark, root):
+    r = _stored(spark, root)
+    return cf.kept_pair_stats(r, item_neighbours(r), "itemid", "userid")
 
 
 def cf_oracle(by: str, target: str, near: str, seen: str) -> str:
@@ -25,7 +31,7 @@ def cf_oracle(by: str, target: str, near: str, seen: str) -> str:
 SELECT userid, itemid, score FROM (
   SELECT *, row_number() OVER (PARTITION BY userid ORDER BY score DESC, itemid) AS rk FROM (
     SELECT userid, itemid, round(sum(sim * rate) / sum(sim), 9) AS score FROM (
-      SELECT {target}, sim, rate FROM capped c JOIN {near} n ON c.{by} = n.a) h
+      SELECT {target}, sim, rate FROM ratings c JOIN {near} n ON c.{by} = n.a) h
     WHERE NOT EXISTS (SELECT 1 FROM {seen} s WHERE s.userid = h.userid AND s.itemid = h.itemid)
     GROUP BY 1, 2))
 WHERE rk <= 20"""
@@ -33,12 +39,12 @@ WHERE rk <= 20"""
 
 @query("item_cf", cf_oracle("itemid", "c.userid, n.b AS itemid", "item_near", "ratings"))
 def item_cf(spark, root):
-    return cf.item_cf(load_ratings(spark, root), cap_n=CAP)
+    return cf.item_cf(load_ratings(spark, root))
 
 
-@query("user_cf", cf_oracle("userid", "n.b AS userid, c.itemid", "user_near", "capped"))
+@query("user_cf", cf_oracle("userid", "n.b AS userid, c.itemid", "user_near", "ratings"))
 def user_cf(spark, root):
-    return cf.user_cf(load_ratings(spark, root), cap_n=CAP)
+    return cf.user_cf(load_ratings(spark, root))
 
 
 @query("src_ratings", "SELECT userid, itemid, rate, ts FROM ratings")
@@ -53,41 +59,49 @@ def filter_user(spark, root):
 
 @query("ratings_capped", "SELECT userid, itemid, rate FROM capped")
 def ratings_capped(spark, root):
-    return _capped(spark, root)
+    return cf.cap(load_ratings(spark, root), CAP)
 
 
 @query("ratings_with_counts", "SELECT userid, itemid, rate, n_user, n_item FROM counted")
 def ratings_with_counts(spark, root):
-    return cf.with_counts(_capped(spark, root)).select(
+    return cf.with_counts(load_ratings(spark, root)).select(
         "userid", "itemid", "rate", "n_user", "n_item")
 
 
 PAIR_COLUMNS = ["a", "b", "size", "dot", "sx", "sy", "sxx", "syy", "na", "nb"]
 
 
-@query("item_pair_stats", f"SELECT {', '.join(PAIR_COLUMNS)} FROM item_pairs")
+@query("item_pair_stats", f"SELECT {', '.join(PAIR_COLUMNS)} FROM item_kept")
 def item_pair_stats(spark, root):
-    return cf.item_pair_stats(_capped(spark, root)).select(*PAIR_COLUMNS)
+    """Sums of the pairs that are neighbours."""
+    return _item_pairs(spark, root).select(*PAIR_COLUMNS)
 
 
-@query("user_pair_stats", f"SELECT {', '.join(PAIR_COLUMNS)} FROM user_pairs")
+@query("user_pair_stats", f"SELECT {', '.join(PAIR_COLUMNS)} FROM user_kept")
 def user_pair_stats(spark, root):
-    return cf.user_pair_stats(_capped(spark, root)).select(*PAIR_COLUMNS)
+    r = _stored(spark, root)
+    return cf.kept_pair_stats(r, user_neighbours(r), "userid", "itemid").select(*PAIR_COLUMNS)
 
 
 @query("item_neighbours", "SELECT a, b, sim FROM item_near")
 def item_neighbours_query(spark, root):
-    return cf.item_neighbours(_capped(spark, root))
+    return item_neighbours(_stored(spark, root))
 
 
 @query("user_neighbours", "SELECT a, b, sim FROM user_near")
 def user_neighbours_query(spark, root):
-    return user_neighbours(materialize(_capped(spark, root), "capped"))
+    return user_neighbours(_stored(spark, root))
+
+
+@query("user_neighbours_lists", "SELECT a, b, sim FROM user_near")
+def user_neighbours_lists(spark, root):
+    """The same result, with the most popular items read as lists."""
+    return user_neighbours(_stored(spark, root), posting=POSTING)
 
 
-@query("sim_cosine", "SELECT a, b, round(dot / (sqrt(sxx) * sqrt(syy)), 6) AS cosine FROM item_pairs")
+@query("sim_cosine", "SELECT a, b, round(dot / (sqrt(sxx) * sqrt(syy)), 6) AS cosine FROM item_kept")
 def sim_cosine(spark, root):
-    s = cf.item_pair_stats(_capped(spark, root))
+    s = _item_pairs(spark, root)
     return s.select("a", "b", F.round(S.cosine(F.col("dot"), F.sqrt("sxx"), F.sqrt("syy")), 6)
                     .alias("cosine"))
 
@@ -101,24 +115,24 @@ def _corr(smooth):
 
 
 @query("sim_correlation", f"""
-SELECT a, b, round(CASE WHEN {DEN} <> 0 THEN {NUM} / {DEN} END, 6) AS corr FROM item_pairs""")
+SELECT a, b, round(CASE WHEN {DEN} <> 0 THEN {NUM} / {DEN} END, 6) AS corr FROM item_kept""")
 def sim_correlation(spark, root):
-    return cf.item_pair_stats(_capped(spark, root)).select(
+    return _item_pairs(spark, root).select(
         "a", "b", F.round(_corr(0), 6).alias("corr"))
 
 
 @query("sim_correlation_smoothed",
-       f"SELECT a, b, round({NUM} / ({DEN} + 1), 6) AS corr FROM item_pairs")
+       f"SELECT a, b, round({NUM} / ({DEN} + 1), 6) AS corr FROM item_kept")
 def sim_correlation_smoothed(spark, root):
-    return cf.item_pair_stats(_capped(spark, root)).select(
+    return _item_pairs(spark, root).select(
         "a", "b", F.round(_corr(1), 6).alias("corr"))
 
 
 @query("sim_regularized", f"""
 SELECT a, b, round(size / (size + 10.0) * ({NUM} / ({DEN} + 1))
-                   + (1 - size / (size + 10.0)) * 0.1, 6) AS corr FROM item_pairs""")
+                   + (1 - size / (size + 10.0)) * 0.1, 6) AS corr FROM item_kept""")
 def sim_regularized(spark, root):
-    return cf.item_pair_stats(_capped(spark, root)).select(
+    return _item_pairs(spark, root).select(
         "a", "b", F.round(S.regularized(F.col("size"), _corr(1), 10, 0.1), 6).alias("corr"))
 
 
@@ -269,7 +283,8 @@ SELECT r.itemid, i.title, r.score FROM (
   SELECT itemid, score FROM ({cf_oracle("itemid", "c.userid, n.b AS itemid", "item_near", "ratings")})
   WHERE userid = 1 ORDER BY score DESC, itemid LIMIT 10) r JOIN items i ON r.itemid = i.itemid""")
 def recs_with_titles(spark, root):
-    recs = cf.item_cf(load_ratings(spark, root), cap_n=CAP).where(F.col("userid") == 1)
+    ratings = load_ratings(spark, root)
+    recs = cf.item_cf_for(ratings, ratings.where(F.col("userid") == 1).select("userid").distinct())
     best = recs.orderBy(F.desc("score"), F.asc("itemid")).limit(10)
     # the left side is the ten rows of the limit, so it is the one that is broadcast
     return (load_items(spark, root).join(F.broadcast(best), "itemid")
