@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from tastegraph.plans import load
@@ -25,7 +26,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = os.environ.get("BENCH_QUERIES")
     spark = build_session("bench", f"local[{cpus}]", int(cpus) * 2, {
-        "spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false"})
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tastegraph-bench-"), "spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     registry = load().QUERIES
     spark.read.parquet(f"{root}/lineitem.parquet").write.format("noop").mode("overwrite").save()

@@ -43,14 +43,23 @@ def unseen_items(items: DataFrame, ratings: DataFrame, user: int) -> DataFrame:
 def train(ratings: DataFrame, rank: int = 10, iters: int = 20, reg: float = 1.0,
           implicit: bool = False, user_blocks: int = -1, item_blocks: int = -1,
           seed: int = 42) -> ALSModel:
-    """Fit; ``-1`` blocks mean the library default of ten."""
+    """Fit; ``-1`` blocks mean the library default of ten.
+
+    The library takes ids as ints and ratings as floats; an id that is no int stops the job.
+    """
     prepare_checkpoints(ratings.sparkSession)
     als = ALS(userCol="userid", itemCol="itemid", ratingCol="rate", rank=rank, maxIter=iters,
               regParam=reg, implicitPrefs=implicit, coldStartStrategy="drop", seed=seed,
               numUserBlocks=10 if user_blocks < 0 else user_blocks,
               numItemBlocks=10 if item_blocks < 0 else item_blocks)
-    # the ordering of rows inside a block follows the shuffle; ids must fit an int
-    return als.fit(ratings.select("userid", "itemid", F.col("rate").cast("float").alias("rate")))
+    # the ordering of rows inside a block follows the shuffle
+    return als.fit(ratings.select(_int_id("userid"), _int_id("itemid"), F.col("rate").cast("float").alias("rate")))
+
+
+def _int_id(name: str) -> Column:
+    fits = F.col(name).between(-2**31, 2**31 - 1)
+    return F.when(fits, F.col(name).cast("int")).otherwise(F.raise_error(F.concat(
+        F.lit(f"{name} is no 32-bit id: "), F.coalesce(F.col(name).cast("string"), F.lit("null")))).cast("int")).alias(name)
 
 
 def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:

@@ -5,15 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Largest k for which the planner limits groups below the exchange (its default).
+GROUP_LIMIT = 1000
+#: Parts of a key that are ranked apart for a larger k.
+PARTS = 64
+
 
 def top_k(df: DataFrame, keys: list[str], order: list[Column], k: int,
           rank: str | None = None) -> DataFrame:
     """First ``k`` rows per key.
 
     ``row_number() <= k`` is planned with a group limit below the exchange, so
-    a map task ships at most ``k`` rows per key however hot the key is.
+    a map task ships at most ``k`` rows per key however hot the key is.  The planner does so up
+    to ``GROUP_LIMIT``; for a larger ``k``, parts of a key are ranked first and what
+    each part keeps is ranked again.
     """
     name = rank or "_rk"
+    if k > GROUP_LIMIT:
+        part = F.pmod(F.xxhash64(*df.columns), F.lit(PARTS))
+        first = Window.partitionBy(*keys, "_part").orderBy(*order)
+        df = df.withColumn("_part", part).withColumn("_rk_part", F.row_number().over(first)).where(
+            F.col("_rk_part") <= k).drop("_part", "_rk_part")
     ranked = df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     ranked = ranked.where(F.col(name) <= k)
     if rank is None:

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import spread
 from ..sources.adlogs import AD_LOG_FIELDS
 from ..sources.tables import table
 
@@ -43,14 +42,14 @@ SPECIAL = {
     **{f"{k}{suffix}": _id(n, form) for form, suffix in (("md5", "md5"), ("sha1", "sha1"), ("raw", ""))
        for n, k in enumerate(("imei", "mac", "idfa", "openudid", "androidid"))},
 }
-CONSTANTS = {"s": "'x'", "i": "'7'", "d": "'0.5'"}
+CONSTANTS = {"string": "'x'", "int": "'7'", "double": "'0.5'"}
 TEXTS = {name: SPECIAL.get(name, CONSTANTS[kind]) for name, kind in AD_LOG_FIELDS}
 
 
 def ad_log_lines(spark: SparkSession, root: str, sep: str = ",") -> DataFrame:
     lines = table(spark, root, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                   "l_quantity", "l_extendedprice", "l_tax")
-    return spread(lines).select(F.concat_ws(sep, *[F.expr(TEXTS[n]) for n, _ in AD_LOG_FIELDS]).alias("value"))
+    return lines.select(F.concat_ws(sep, *[F.expr(TEXTS[n]) for n, _ in AD_LOG_FIELDS]).alias("value"))
 
 
 # the answer kind of a coordinate follows the first hex digit of its MD5

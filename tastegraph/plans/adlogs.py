@@ -15,8 +15,8 @@ from .adlog_lines import ANSWER, TEXTS, ad_log_lines
 from .registry import cte, query
 
 _SQL_TYPED = {
-    "s": "{}", "d": "coalesce(TRY_CAST({} AS DOUBLE), 0.0)",
-    "i": "CAST(coalesce(trunc(TRY_CAST({} AS DOUBLE)), 0) AS INTEGER)"}
+    "string": "{}", "double": "coalesce(TRY_CAST({} AS DOUBLE), 0.0)",
+    "int": "CAST(coalesce(trunc(TRY_CAST({} AS DOUBLE)), 0) AS INTEGER)"}
 cte("ad_logs", "SELECT " + ",\n ".join(
     f'{_SQL_TYPED[k].format("(" + TEXTS[n] + ")")} AS "{n}"' for n, k in AD_LOG_FIELDS) + " FROM lineitem")
 
@@ -32,6 +32,7 @@ def ad_log_parse(spark, root):
     return adlogs.read_ad_logs(spark, path)
 
 
+# Identity columns by precedence.
 IDS = [f"{k}{s}" for s in ("md5", "sha1", "") for k in ("imei", "mac", "idfa", "openudid", "androidid")]
 ANY_ID = " OR ".join(f"{c} <> ''" for c in IDS)
 
@@ -129,6 +130,6 @@ def geocode_requests(spark, root):
 SELECT h.geohash, b.business FROM businesses b JOIN coord_hash h ON h.lat = b.lat AND h.long = b.long
 WHERE b.business <> ''""")
 def geo_business_table(spark, root):
-    logs = materialize(_logs(spark, root).select("lat", "long"), "ad-coords")
-    answers = logs.distinct().withColumn("answer", F.expr(ANSWER))
+    logs = materialize(_logs(spark, root).select("lat", "long").distinct(), "ad-coords")
+    answers = logs.withColumn("answer", F.expr(ANSWER))
     return geo.business_table(logs, answers)

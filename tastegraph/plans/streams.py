@@ -44,18 +44,28 @@ def stream_parse(spark, root):
 
 
 @query("stream_batch_counts", """
-SELECT count(*) AS batch_rows, count(*) AS total_rows FROM behaviour""")
+SELECT CAST(b AS BIGINT) AS batch, true AS has_rows, true AS follows, true AS adds_up,
+       CASE WHEN b = 1 THEN (SELECT count(*) FROM behaviour) END AS all_rows FROM range(2) t(b)""")
 def stream_batch_counts(spark, root):
-    audit = spark.read.parquet(f"{_store(spark, root)}/audit")
-    return audit.agg(F.sum("batch_rows").alias("batch_rows"), F.max("total_rows").alias("total_rows"))
-
-
-@query("stream_retrain")
+    """Every audit row: what came before it, and that the last one has counted all rows."""
+    audit = spark.read.parquet(f"{_store(spark, root)}/audit").withColumn("batch", F.col("batch_id").cast("bigint"))
+    before = audit.select((F.col("batch") + 1).alias("batch"), F.col("total_rows").alias("before"))
+    return audit.join(before, "batch", "left").select(
+        "batch", (F.col("batch_rows") > 0).alias("has_rows"),
+        (F.col("history_rows") == F.coalesce("before", F.lit(0))).alias("follows"),
+        (F.col("total_rows") == F.col("history_rows") + F.col("batch_rows")).alias("adds_up"),
+        F.when(F.col("batch") == 1, F.col("total_rows")).alias("all_rows"))
+
+
+@query("stream_retrain", """
+SELECT userid, CAST(r AS BIGINT) AS rank, true AS finite
+FROM (SELECT DISTINCT userid FROM behaviour WHERE userid < 30), range(1, 11) t(r)""")
 def stream_retrain(spark, root):
     base = scratch_path(spark, "stream")
     users = spark.range(30).select(F.col("id").alias("userid"))
     q = R.retrain(_lines(spark, root), f"{base}/history", f"{base}/model", f"{base}/recs",
-                  f"{base}/checkpoint", users, iters=3, rank=5, trigger=None)
+                  f"{base}/checkpoint", users, trigger=None)
     q.awaitTermination()
     recs = spark.read.parquet(f"{base}/recs")
-    return recs.join(recs.agg(F.max("batch_id").alias("batch_id")), "batch_id").drop("batch_id")
+    served = recs.join(recs.agg(F.max("batch_id").alias("batch_id")), "batch_id")
+    return served.select("userid", "rank", (F.abs("score") < float("inf")).alias("finite"))

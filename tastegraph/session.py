@@ -2,19 +2,16 @@
 
 Everything that has to outlive one job (materialised intermediate tables,
 checkpoints, sink round trips) goes below the folder named by
-``spark.checkpoint.dir``.  Only a local-mode session without that setting falls
-back to a fresh folder under the system temp directory.
+``spark.checkpoint.dir``.  Where that is unset, a folder inside the session's warehouse takes its
+place: the warehouse is shared as well.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_DIRS: dict[str, str] = {}
-
 
 def build_session(app: str = "tastegraph", master: str | None = None,
                   shuffle_partitions: int | None = None,
@@ -49,12 +46,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_DIRS:
-        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="tastegraph-")
-    return _LOCAL_DIRS[app]
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -77,15 +69,6 @@ def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core for heavy per-row work when the input has too few splits.
-
-    A no-op for inputs with enough files, so a large scan is never reshuffled.
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(2 * slots) if df.rdd.getNumPartitions() < slots else df
-
-
 def prepare_checkpoints(spark: SparkSession) -> None:
     """Give iterative estimators a reliable checkpoint folder when none is set."""
     if not spark.conf.get("spark.checkpoint.dir", None):

@@ -9,23 +9,26 @@ from pyspark.sql import types as T
 from ..functions.casts import to_double, to_int
 from ..functions.text import literal_pattern
 
-# Log columns in file order; i = int, d = double, s = string.
-AD_LOG_COLUMNS = """
-sessionid s, advertisersid i, adorderid i, adcreativeid i, adplatformproviderid i, sdkversion s,
-adplatformkey s, putinmodeltype i, requestmode i, adprice d, adppprice d, requestdate s, ip s,
-appid s, appname s, uuid s, device s, client i, osversion s, density s, pw i, ph i, long s, lat s,
-provincename s, cityname s, ispid i, ispname s, networkmannerid i, networkmannername s,
-iseffective i, isbilling i, adspacetype i, adspacetypename s, devicetype i, processnode i,
-apptype i, district s, paymode i, isbid i, bidprice d, winprice d, iswin i, cur s, rate d,
-cnywinprice d, imei s, mac s, idfa s, openudid s, androidid s, rtbprovince s, rtbcity s,
-rtbdistrict s, rtbstreet s, storeurl s, realip s, isqualityapp i, bidfloor d, aw i, ah i,
-imeimd5 s, macmd5 s, idfamd5 s, openudidmd5 s, androididmd5 s, imeisha1 s, macsha1 s, idfasha1 s,
-openudidsha1 s, androididsha1 s, uuidunknow s, userid s, iptype i, initbidprice d, adpayment d,
-agentrate d, lomarkrate d, adxrate d, title s, keywords s, tagid s, callbackdate s, channelid s,
-mediatype i
+# Log columns in file order.
+AD_LOG_DDL = """
+sessionid string, advertisersid int, adorderid int, adcreativeid int, adplatformproviderid int,
+sdkversion string, adplatformkey string, putinmodeltype int, requestmode int, adprice double,
+adppprice double, requestdate string, ip string, appid string, appname string, uuid string,
+device string, client int, osversion string, density string, pw int, ph int, long string,
+lat string, provincename string, cityname string, ispid int, ispname string, networkmannerid int,
+networkmannername string, iseffective int, isbilling int, adspacetype int, adspacetypename string,
+devicetype int, processnode int, apptype int, district string, paymode int, isbid int,
+bidprice double, winprice double, iswin int, cur string, rate double, cnywinprice double,
+imei string, mac string, idfa string, openudid string, androidid string, rtbprovince string,
+rtbcity string, rtbdistrict string, rtbstreet string, storeurl string, realip string,
+isqualityapp int, bidfloor double, aw int, ah int, imeimd5 string, macmd5 string, idfamd5 string,
+openudidmd5 string, androididmd5 string, imeisha1 string, macsha1 string, idfasha1 string,
+openudidsha1 string, androididsha1 string, uuidunknow string, userid string, iptype int,
+initbidprice double, adpayment double, agentrate double, lomarkrate double, adxrate double,
+title string, keywords string, tagid string, callbackdate string, channelid string, mediatype int
 """
-AD_LOG_FIELDS = [tuple(part.split()) for part in AD_LOG_COLUMNS.split(",")]
-_TYPES = {"i": T.IntegerType(), "d": T.DoubleType(), "s": T.StringType()}
+AD_LOG_FIELDS = [tuple(part.split()) for part in AD_LOG_DDL.split(",")]
+_TYPES = {"int": T.IntegerType(), "double": T.DoubleType(), "string": T.StringType()}
 AD_LOG_SCHEMA = T.StructType([T.StructField(n, _TYPES[k]) for n, k in AD_LOG_FIELDS])
 
 
@@ -35,8 +38,10 @@ def parse_ad_logs(lines: DataFrame, sep: str = ",") -> DataFrame:
     A numeric field that does not parse is 0.
     """
     parts = F.split("value", literal_pattern(sep), -1)
-    convert = {"i": to_int, "d": to_double, "s": lambda c: c}
-    fields = lines.select(parts.alias("f")).where(F.size("f") >= len(AD_LOG_FIELDS))
+    convert = {"int": to_int, "double": to_double, "string": lambda c: c}
+    # as the output of a generator the array is made once; a filter on a plain column would be
+    # moved below and split every line a second time
+    fields = lines.select(F.explode(F.array(parts)).alias("f")).where(F.size("f") >= len(AD_LOG_FIELDS))
     return fields.select(*[convert[k](F.col("f")[i]).alias(n)
                            for i, (n, k) in enumerate(AD_LOG_FIELDS)])
 

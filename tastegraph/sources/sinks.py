@@ -29,14 +29,19 @@ def write_json(df: DataFrame, path: str, files: int | None = None) -> None:
 
 
 def write_text(df: DataFrame, path: str, sep: str = ",", files: int | None = None) -> None:
-    line = F.concat_ws(sep, *[F.col(c).cast("string") for c in df.columns])
+    """One line per row; NULL is an empty field.  With several columns, a value that holds ``sep`` stops the job."""
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]
+    if len(fields) > 1:
+        fields = [F.when(~F.contains(f, F.lit(sep)), f).otherwise(
+            F.raise_error(F.concat(F.lit("separator inside a value: "), f)).cast("string")) for f in fields]
+    line = F.concat(*[part for f in fields for part in (F.lit(sep), f)][1:])
     _files(df.select(line.alias("value")), files).write.mode("overwrite").text(path)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str],
                mode: str = "append", connections: int = 8) -> None:
-    """Write over at most ``connections`` parallel connections."""
-    df.coalesce(connections).write.jdbc(url, table, mode=mode, properties=properties)
+    """Write over ``connections`` parallel connections; the rows are dealt anew, so what comes before keeps its tasks."""
+    df.repartition(connections).write.jdbc(url, table, mode=mode, properties=properties)
 
 
 def upsert_dict(new: DataFrame, old: DataFrame) -> DataFrame:

@@ -28,9 +28,10 @@ def parse_ratings(lines: DataFrame, sep: str = "::", on_bad: str = "raise") -> D
     names = [n for n, _ in RATING_TYPES]
     if on_bad == "drop":
         return rows.where(good).select(*names)
-    checked = F.when(good, F.col("userid")).otherwise(
-        F.raise_error(F.concat(F.lit("bad rating line: "), "value")).cast("bigint"))
-    return rows.select(checked.alias("userid"), *names[1:])
+    # a filter, because no later choice of columns can take it away
+    checked = F.when(good, F.lit(True)).otherwise(
+        F.raise_error(F.concat(F.lit("bad rating line: "), "value")).cast("boolean"))
+    return rows.where(checked).select(*names)
 
 
 def read_ratings_text(spark: SparkSession, path: str, sep: str = "::",
@@ -39,8 +40,9 @@ def read_ratings_text(spark: SparkSession, path: str, sep: str = "::",
 
 
 def read_ratings_collapsed(spark: SparkSession, path: str, sep_class: str = ":") -> DataFrame:
-    """Trimmed lines; a run of separators counts as one."""
-    parts = F.split(F.trim("value"), f"[{sep_class}]+")
+    """Trimmed lines; a run of any of the separator characters counts as one."""
+    escaped = "".join(c if c.isalnum() else f"\\{c}" for c in sep_class)
+    parts = F.split(F.trim("value"), f"[{escaped}]+")
     return spark.read.text(path).select(parts.alias("p")).select(*_typed(F.col("p")))
 
 

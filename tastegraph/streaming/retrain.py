@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -10,6 +11,7 @@ from ..functions.text import literal_pattern
 from ..operators import als
 
 HISTORY_SCHEMA = "userid bigint, itemid bigint, rate double, ts bigint, batch_id bigint"
+AUDIT_SCHEMA = "batch_rows bigint, history_rows bigint, total_rows bigint, batch_id bigint"
 PERIOD = "6 seconds"
 
 
@@ -31,9 +33,26 @@ def parse_behaviour(lines: DataFrame, sep: str = ",") -> DataFrame:
     return rows.dropna()
 
 
-def append_batch(batch: DataFrame, batch_id: int, history_path: str) -> None:
-    """Store a batch under its own id: a replayed batch replaces itself."""
-    batch.write.mode("overwrite").parquet(f"{history_path}/batch_id={batch_id}")
+def append_batch(batch: DataFrame, batch_id: int, history_path: str) -> int:
+    """Store a batch under its own id, so that a replayed batch replaces itself; the rows stored.
+
+    They are counted from the files: the source is read once.
+    """
+    path = f"{history_path}/batch_id={batch_id}"
+    batch.write.mode("overwrite").parquet(path)
+    return batch.sparkSession.read.schema(batch.schema).parquet(path).count()
+
+
+def audited(spark: SparkSession, audit_path: str, before: int) -> int:
+    """Rows stored by all batches before this one, from the latest audit row."""
+    try:
+        rows = spark.read.schema(AUDIT_SCHEMA).parquet(audit_path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0
+    last = rows.where(F.col("batch_id") < before).agg(F.max_by("total_rows", "batch_id")).first()[0]
+    return last or 0
 
 
 def read_history(spark: SparkSession, history_path: str, upto: int | None = None) -> DataFrame:
@@ -51,15 +70,13 @@ def store(stream: DataFrame, history_path: str, audit_path: str, checkpoint: str
           trigger: str | None = PERIOD) -> StreamingQuery:
     """Append each non-empty batch and note batch, history and total sizes."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         spark = batch.sparkSession
-        append_batch(batch, batch_id, history_path)
-        # counts are read from the stored files, not from the batch a second time
-        sizes = read_history(spark, history_path, batch_id).agg(
-            F.count(F.when(F.col("batch_id") == batch_id, 1)).alias("batch_rows"),
-            F.count(F.when(F.col("batch_id") < batch_id, 1)).alias("history_rows"),
-            F.count("*").alias("total_rows"))
+        rows = append_batch(batch, batch_id, history_path)
+        if not rows:
+            return
+        history = audited(spark, audit_path, batch_id)
+        sizes = spark.createDataFrame([(rows, history, history + rows)],
+                                      "batch_rows bigint, history_rows bigint, total_rows bigint")
         sizes.coalesce(1).write.mode("overwrite").parquet(f"{audit_path}/batch_id={batch_id}")
 
     return _start(stream, handle, checkpoint, trigger)
@@ -74,10 +91,9 @@ def retrain(stream: DataFrame, history_path: str, model_path: str, output_path:
     rows.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
+        if not append_batch(batch, batch_id, history_path):
             return
         spark = batch.sparkSession
-        append_batch(batch, batch_id, history_path)
         training = read_history(spark, history_path, batch_id)
         als.save_model(als.train(training, rank, iters, reg), model_path)
         recs = als.recommend_for_users(als.load_model(model_path), users, k)

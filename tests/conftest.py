@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -11,7 +12,7 @@ from tastegraph.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = build_session("tests", "local[8]", 8, {
-        "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"})
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tastegraph-tests-"), "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

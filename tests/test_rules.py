@@ -121,8 +121,43 @@ def test_kpis_bid_and_win_counts_as_bid(spark):
 def test_rating_lines(spark):
     df = spark.createDataFrame([("1::2::3.5::9",), ("1::2::3",), ("a::2::3::4",)], "value string")
     assert [tuple(r) for r in text_files.parse_ratings(df, on_bad="drop").collect()] == [(1, 2, 3.5, 9)]
-    with pytest.raises(Exception, match="bad rating line"):
-        text_files.parse_ratings(df).collect()
+    for read in (lambda d: d.collect(), lambda d: d.count(), lambda d: d.select("itemid", "rate").collect()):
+        with pytest.raises(Exception, match="bad rating line"):
+            read(text_files.parse_ratings(df))
+
+
+def test_collapsed_separators_are_taken_literally(spark, tmp_path):
+    spark.createDataFrame([(" 1^2]]^3\\\\4 ",)], "value string").write.text(str(tmp_path / "c"))
+    got = text_files.read_ratings_collapsed(spark, str(tmp_path / "c"), "^]\\").first()
+    assert tuple(got) == (1, 2, 3.0, 4)
+
+
+def test_text_sink_keeps_fields_in_place(spark, tmp_path):
+    rows = [(None, 2, "a"), (1, None, "b"), (1, 2, None)]
+    df = spark.createDataFrame(rows, "x int, y int, z string")
+    sinks.write_text(df, str(tmp_path / "t"))
+    assert sorted(r[0] for r in spark.read.text(str(tmp_path / "t")).collect()) == sorted([",2,a", "1,,b", "1,2,"])
+    with pytest.raises(Exception, match="separator inside a value"):
+        sinks.write_text(df.selectExpr("x", "'p,q' AS z"), str(tmp_path / "u"))
+
+
+def test_baseline_of_large_rates(spark):
+    rows = [(1e9 + r, s) for r, s in ((1.0, "train"), (3.0, "validation"), (4.0, "test"), (2.0, "test"))]
+    got = evaluate.baseline(spark.createDataFrame(rows, "rate double, split string")).first()
+    assert got["baseline_rmse"] == pytest.approx(math.sqrt(2))
+
+
+def test_log_lines_are_split_once(spark):
+    df = spark.createDataFrame([("x",)], "value string")
+    plan = adlogs.parse_ad_logs(df).select("adprice", "imei")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
+
+
+def test_large_k_per_key(spark):
+    df = spark.range(3000).withColumn("k", F.col("id") % 2)
+    got = top_k(df, ["k"], [F.desc("id")], 1200, rank="rk").groupBy("k").agg(
+        F.min("id").alias("low"), F.count("*").alias("n"), F.max("rk").alias("rk")).orderBy("k").collect()
+    assert [tuple(r) for r in got] == [(0, 600, 1200, 1200), (1, 601, 1200, 1200)]
 
 
 def test_personal_ratings_need_one(spark, tmp_path):
