@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import literal_pattern
 from ..session import materialize
-from .ranking import chunked_lists
+from .ranking import chunked_lists, numbered
 
 
 def adjacency_edges(lines: DataFrame, sep: str = ",") -> DataFrame:
@@ -41,6 +41,18 @@ def components(edges: DataFrame) -> DataFrame:
         "vertex", F.coalesce("component", "vertex").alias("component"))
 
 
+def name_components(edges: DataFrame) -> DataFrame:
+    """The same for names: they get numbers in name order once, so the rounds move longs only."""
+    start = materialize(edges.select("src", "dst").distinct(), "name-edges")
+    names = start.select(F.explode(F.array("src", "dst")).alias("name")).distinct()
+    ids = materialize(numbered(names, [], ["name"], "name-order"), "name-ids")
+    of = lambda to: ids.select(F.col("name").alias(to), F.col("rank").alias(f"{to}_id"))
+    coded = start.join(of("src"), "src").join(of("dst"), "dst").select(
+        F.col("src_id").alias("src"), F.col("dst_id").alias("dst"))
+    found = components(coded).select(F.col("vertex").alias("vertex_id"), F.col("component").alias("component_id"))
+    return found.join(of("vertex"), "vertex_id").join(of("component"), "component_id").select("vertex", "component")
+
+
 def _large_star(links: DataFrame) -> DataFrame:
     """Connect every larger neighbour of u to the least vertex around u."""
     both = links.select(F.explode(F.array(
@@ -65,6 +77,6 @@ def clusters(lines: DataFrame, sep: str = ",", chunk: int = 1000) -> DataFrame:
 
     A component of more than ``chunk`` names is spread over several rows.
     """
-    labelled = components(adjacency_edges(lines, sep))
+    labelled = name_components(adjacency_edges(lines, sep))
     lists = chunked_lists(labelled, "component", "vertex", chunk)
     return lists.select("component", "part", F.array_join("values", ",").alias("names"), "n")

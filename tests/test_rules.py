@@ -200,7 +200,9 @@ def test_components_chain_hub_and_single(spark):
     chain = [f"n{i:03d},n{i + 1:03d}" for i in range(60)]
     hub = ["z," + ",".join(f"h{i}" for i in range(50))]
     lines = spark.createDataFrame([(v,) for v in chain + hub + ["alone", ",", "solo,,solo"]], "value string")
-    got = {r["vertex"]: r["component"] for r in graph.components(graph.adjacency_edges(lines)).collect()}
+    edges = graph.adjacency_edges(lines)
+    got = {r["vertex"]: r["component"] for r in graph.name_components(edges).collect()}
+    assert got == {r["vertex"]: r["component"] for r in graph.components(edges).collect()}
     assert {got[f"n{i:03d}"] for i in range(61)} == {"n000"}
     assert {got[f"h{i}"] for i in range(50)} | {got["z"]} == {"h0"}
     assert got["alone"] == "alone" and got["solo"] == "solo" and "" not in got
