@@ -6,9 +6,6 @@ import zlib
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
-
-from ..session import materialize
 
 #: A word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -32,27 +29,3 @@ def id_mod(doc_id: Column, n: int) -> Column:
 def crc_mod(doc_id: int | None, n: int) -> int:
     """The same on a Python value."""
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % n
-
-
-def numbered(df: DataFrame, group: list[str], order: list[str], label: str) -> DataFrame:
-    """Add ``rank``: the place (from 1) of a row in its group, by ``order``.
-
-    A range sort deals even one hot group over all partitions.  Rows are numbered
-    inside their partition, and a table of one row per partition and group carries
-    what stands before; no window ever holds a group.  Rows that agree on all
-    of group and order may swap places.
-    """
-    key = [F.col(c).asc_nulls_first() for c in [*group, *order]]
-    placed = materialize(df.repartitionByRange(*key).sortWithinPartitions(*key)
-                         .withColumn("_at", F.monotonically_increasing_id()), label)
-    placed = placed.withColumn("_part", F.shiftright("_at", 33))
-    named = [F.col(c).alias(f"_g{i}") for i, c in enumerate(group)]
-    runs = placed.groupBy(F.col("_part").alias("_p"), *named).agg(
-        F.min("_at").alias("_from"), F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*[f"_g{i}" for i in range(len(group))] or [F.lit(0)]).orderBy("_p")
-    runs = runs.withColumn("_skip", F.sum("_n").over(before) - F.col("_n"))
-    same = F.col("_part") == F.col("_p")
-    for i, c in enumerate(group):
-        same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
-    return placed.join(runs, same).select(
-        *df.columns, (F.col("_at") - F.col("_from") + F.col("_skip") + 1).alias("rank"))

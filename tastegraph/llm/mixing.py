@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..operators.ranking import numbered
 from ..session import materialize
-from .common import WORD, numbered, read, word_count
+from .common import WORD, read, word_count
 
 WEIGHTS = (1, 2, 3)
 MOST = 3
