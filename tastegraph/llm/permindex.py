@@ -4,10 +4,11 @@ A vector is represented by its nearest pivots in order of nearness.  Each shard
 keeps, per pivot, the vectors that have it among their nearest, with its place (a pivot
 inverted file).  A query reads the files of its own nearest pivots, ranks the vectors of the shard by
 footrule distance (the sum of how far places differ; a pivot that is missing stands at the end),
-and the best part is ranked again by the true cosine.
+and the best part, with all that is tied with its last, is ranked again by the true cosine.
 
-Shards are blocks of rows of about the same size however large the table, so a shard fits a task and
-recall does not depend on the number of rows; queries pass in blocks.  Best lists of the shards are merged.
+Equal vectors are indexed once, with the least ids among them, and expanded after the search.
+Shards are blocks of distinct vectors of about the same size however large the table, so a shard fits a task and
+recall depends neither on the number of rows nor on copies; queries pass in blocks.  Best lists of the shards are merged.
 """
 
 from __future__ import annotations
@@ -20,17 +21,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..operators.ranking import top_k
 from ..session import materialize
 from .common import read
 
 #: Pivots (a sample by hash of the id; what is broadcast), and how many of them represent a vector.
 PIVOTS, NEAREST = 256, 64
-#: Rows of a shard and queries of a block (expected).
+#: Distinct vectors of a shard and queries of a block (expected).
 SHARD, BLOCK = 8192, 1024
 #: Part of a shard that is ranked again, and the least number.
 RERANK, LEAST = 0.15, 200
 TOP = 5
 EVERY = 50
+#: Parts in which the ids of one vector are ranked first, so that many copies are no single task's work.
+PARTS = 16
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -63,12 +67,23 @@ def places(units: np.ndarray, pivots: np.ndarray, nearest: int) -> np.ndarray:
     return np.take_along_axis(some, order, axis=1)
 
 
+def distinct_vectors(rows: DataFrame, least: int) -> DataFrame:
+    """``(vec_id, vector, ids)`` of rows ``(vec_id, vector)``: each vector once, its least id, and its ``least`` least ids."""
+    part = F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(PARTS))
+    some = top_k(rows.withColumn("_part", part), ["vector", "_part"], [F.col("vec_id")], least)
+    ids = F.slice(F.sort_array(F.collect_list("vec_id")), 1, least)
+    return some.groupBy("vector").agg(ids.alias("ids")).select(F.col("ids")[0].alias("vec_id"), "vector", "ids")
+
+
 class Shard:
-    """Pivot inverted files of some vectors."""
+    """Pivot inverted files of some vectors; ``copies`` are the ids of each one (its own id if left out)."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, pivots: np.ndarray, nearest: int):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, pivots: np.ndarray, nearest: int,
+                 copies: list[np.ndarray] | None = None):
         order = np.argsort(ids, kind="stable")
         self.ids, self.units, self.pivots = ids[order], unit(vectors[order]), pivots
+        self.copies = [ids[i:i + 1] if copies is None else copies[i] for i in order]
+        self.single = np.array([len(c) == 1 for c in self.copies], bool)
         own = places(self.units, pivots, nearest)
         self.depth = own.shape[1]
         flat = own.ravel()
@@ -95,15 +110,20 @@ class Shard:
         units = unit(queries)
         for query_id, q, near in zip(query_ids, units, places(units, self.pivots, self.depth)):
             distance = self.footrule(near)
-            distance[self.ids == query_id] = np.inf
-            keep = min(rerank, len(distance))
-            some = np.argpartition(distance, keep - 1)[:keep]
-            some = some[np.isfinite(distance[some])]
+            distance[(self.ids == query_id) & self.single] = np.inf
+            last = np.partition(distance, min(rerank, len(distance)) - 1)[min(rerank, len(distance)) - 1]
+            some = np.flatnonzero((distance <= last) & np.isfinite(distance))
             if not len(some):
                 continue
             score = np.minimum(1.0, np.maximum(-1.0, (self.units[some] * q).sum(axis=1)))
-            best = np.lexsort((self.ids[some], -score))[:top]
-            yield from zip([query_id] * len(best), self.ids[some[best]], score[best])
+            if len(some) > top + 1:  # one of the best may hold no id but the query's
+                good = score >= np.partition(score, -top - 1)[-top - 1]
+                some, score = some[good], score[good]
+            score = np.repeat(score, [len(self.copies[i]) for i in some])
+            ids = np.concatenate([self.copies[i] for i in some])
+            ids, score = ids[ids != query_id], score[ids != query_id]
+            best = np.lexsort((ids, -score))[:top]
+            yield from zip([query_id] * len(best), ids[best], score[best])
 
 
 def neighbours(vectors: DataFrame, queries: DataFrame, top: int = TOP, pivots: int = PIVOTS,
@@ -112,14 +132,15 @@ def neighbours(vectors: DataFrame, queries: DataFrame, top: int = TOP, pivots: i
 
     Both have vec_id and embedding of one length; a query's own id is no candidate.  Rows with a null, zero
     or non-finite vector take no part, repeated ids are one vector (the least).  Equal scores go by
-    vec_id.  With few rows everything is ranked again and the result is exact.
+    vec_id, copies of one vector too.  With few rows everything is ranked again and the result is exact.
     """
-    rows = materialize(usable(vectors).groupBy("vec_id").agg(F.min("vector").alias("vector")), "vectors")
+    rows = usable(vectors).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    distinct = materialize(distinct_vectors(rows, top + 1), "vectors")
     asked = materialize(usable(queries).groupBy("vec_id").agg(F.min("vector").alias("vector")), "queries")
-    n, q = rows.count(), asked.count()
+    n, q = distinct.count(), asked.count()
     shards, blocks = -(-n // shard) or 1, -(-q // BLOCK) or 1
     chosen = pivot_sample(rows, pivots)
-    index = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(shards)).cast("int"))
+    index = distinct.withColumn("shard", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(shards)).cast("int"))
     probes = (asked.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(blocks)).cast("int"))
               .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))))
     parts = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
@@ -127,7 +148,8 @@ def neighbours(vectors: DataFrame, queries: DataFrame, top: int = TOP, pivots: i
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(left) and len(right):
-            own = Shard(left["vec_id"].to_numpy(np.int64), np.array(left["vector"].tolist(), float), chosen, nearest)
+            own = Shard(left["vec_id"].to_numpy(np.int64), np.array(left["vector"].tolist(), float), chosen, nearest,
+                        [np.asarray(x, np.int64) for x in left["ids"]])
             found = list(own.search(right["vec_id"].to_numpy(np.int64), np.array(right["vector"].tolist(), float),
                                     top, max(LEAST, int(rerank * len(left)))))
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype(

@@ -62,3 +62,29 @@ def test_odd_rows(spark):
         (0, 1, 1), (0, 2, 50), (0, 3, 2), (0, 4, 8), (50, 1, 0), (50, 2, 1), (50, 3, 2), (50, 4, 8)]
     assert permindex.neighbours(df.limit(0), df.limit(0)).count() == 0
     assert permindex.neighbours(df, df.limit(0)).count() == 0
+
+
+def a_third_copies(spark):
+    """Ids and vectors of the embeddings, about a third of them made equal, and a table of them."""
+    rows = spark.read.parquet(f"{ROOT}/embeddings.parquet").orderBy("vec_id").collect()
+    ids, vectors = np.array([r["vec_id"] for r in rows]), np.array([r["embedding"] for r in rows], np.float32)
+    same = np.random.default_rng(4).random(len(ids)) < 1 / 3
+    vectors[same] = vectors[same][0]
+    df = spark.createDataFrame([(int(i), v.tolist(), None, None) for i, v in zip(ids, vectors)], SCHEMA)
+    return ids, vectors.astype(float), same, df
+
+
+def recalls(ids, vectors, df):
+    """Share of the exact five, by id, for each query."""
+    got = {}
+    for r in permindex.neighbours(df, df.where("vec_id % 25 = 0")).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    return {q: len(got[q] & {i for i, _ in exact(ids, vectors, q)}) / 5 for q in map(int, ids) if q % 25 == 0}
+
+
+def test_many_copies_keep_their_least_ids(spark):
+    """More copies than are ranked again: each query among them gets the least other ids."""
+    ids, vectors, same, df = a_third_copies(spark)
+    found = recalls(ids, vectors, df)
+    inside = set(ids[same].tolist())
+    assert {found[q] for q in found if q in inside} == {1.0}
