@@ -25,7 +25,7 @@ from ..operators.ranking import top_k
 from ..session import materialize
 from .common import read
 
-#: Pivots (a sample by hash of the id; what is broadcast), and how many of them represent a vector.
+#: Pivots (a sample by hash of the vector, so all differ; what is broadcast), and how many of them represent a vector.
 PIVOTS, NEAREST = 256, 64
 #: Distinct vectors of a shard and queries of a block (expected).
 SHARD, BLOCK = 8192, 1024
@@ -52,9 +52,9 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))
 
 
-def pivot_sample(rows: DataFrame, pivots: int = PIVOTS) -> np.ndarray:
-    """Unit vectors of the ``pivots`` rows with the least hash of their id."""
-    picked = rows.orderBy(F.xxhash64("vec_id", F.lit(10)), "vec_id").limit(pivots).toPandas()
+def pivot_sample(distinct: DataFrame, pivots: int = PIVOTS) -> np.ndarray:
+    """Unit vectors of the ``pivots`` rows with the least hash of their vector; ``distinct`` holds each vector once."""
+    picked = distinct.select("vector").orderBy(F.xxhash64("vector", F.lit(10)), "vector").limit(pivots).toPandas()
     return unit(np.array(picked["vector"].tolist(), float)) if len(picked) else np.empty((0, 0))
 
 
@@ -139,7 +139,7 @@ def neighbours(vectors: DataFrame, queries: DataFrame, top: int = TOP, pivots: i
     asked = materialize(usable(queries).groupBy("vec_id").agg(F.min("vector").alias("vector")), "queries")
     n, q = distinct.count(), asked.count()
     shards, blocks = -(-n // shard) or 1, -(-q // BLOCK) or 1
-    chosen = pivot_sample(rows, pivots)
+    chosen = pivot_sample(distinct, pivots)
     index = distinct.withColumn("shard", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(shards)).cast("int"))
     probes = (asked.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(blocks)).cast("int"))
               .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))))

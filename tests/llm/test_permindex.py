@@ -88,3 +88,15 @@ def test_many_copies_keep_their_least_ids(spark):
     found = recalls(ids, vectors, df)
     inside = set(ids[same].tolist())
     assert {found[q] for q in found if q in inside} == {1.0}
+
+
+def test_copies_are_one_pivot(spark):
+    """Queries outside the copies keep their recall, for all pivots differ."""
+    ids, vectors, same, df = a_third_copies(spark)
+    rows = permindex.usable(df)
+    pivots = permindex.pivot_sample(permindex.distinct_vectors(rows, 6))
+    assert len(pivots) == len(np.unique(pivots, axis=0)) == permindex.PIVOTS
+    found = recalls(ids, vectors, df)
+    inside = set(ids[same].tolist())
+    assert np.mean([r for q, r in found.items() if q not in inside]) >= 0.9
+    assert np.mean(list(found.values())) >= 0.9
