@@ -4,7 +4,8 @@ A document is the set of its word shingles.  Documents walk down random trees: a
 places of the minwise signature, and a document goes on to a child by the token it has
 there, so similar documents tend to take the same way.  A node with few documents is compared
 exhaustively on full sets; a larger one branches further.  Independent trees are
-repeated until a pair at the threshold is missed with small probability.
+repeated until a pair at the threshold is missed with a probability of at most ``1 - RECALL``, at whatever
+depth it has to be found; deeper nodes are met more seldom and need more trees (:func:`trees_for`).
 
 What keeps hot groups cheap:
 
@@ -20,6 +21,7 @@ So no task holds more than two parts of ``SMALL`` documents, and nothing is drop
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,8 +37,10 @@ SHINGLE = 3
 PERCENT = 85
 #: Places of a signature; a node is compared exhaustively up to so many documents.
 PLACES, SMALL = 64, 256
-#: Trees of the rounds; all but the last only deal large nodes into parts.
-ROUNDS = (4, 8)
+#: Trees of the first round, which only deals large nodes into parts, and the least number of the last.
+DEALING, LEAST = 4, 8
+#: Share of pairs at the threshold that meet in a node of the last round; what may be missed is shared by the depths.
+RECALL = 0.99
 #: Depths at which nodes are looked at.
 DEPTHS = (3, 6, 12)
 #: Inside a node, a pair is looked at on full sets unless its signatures agree this many standard deviations
@@ -132,6 +136,31 @@ def walk(sig: np.ndarray, tree: int, depth: int, percent: int) -> tuple[np.ndarr
     return walk_on(sig, np.full(len(sig), mix(np.array([tree + 1], np.uint64))[0]), depth, percent)
 
 
+def missed(percent: int, depth: int, trees: int) -> float:
+    """Probability that a pair at the threshold shares no node at ``depth`` of so many trees.
+
+    Given the share of places on which its signatures agree, trees are independent and a tree is a branching process.
+    """
+    at, twice, total = percent / 100, 100 / percent - 1, 0.0
+    for agree in range(PLACES + 1):
+        share, none = agree / PLACES, 0.0
+        for _ in range(depth):
+            lost = 1 - share * (1 - none)
+            none = (1 - twice) * lost + twice * lost * lost
+        total += math.comb(PLACES, agree) * at**agree * (1 - at)**(PLACES - agree) * none**trees
+    return total
+
+
+def trees_for(percent: int, depths: tuple[int, ...], recall: float) -> list[int]:
+    """Trees per depth (never fewer at a larger one), each missing at most its part of ``1 - recall``."""
+    counts, trees = [], LEAST
+    for depth in depths:
+        while missed(percent, depth, trees) > (1 - recall) / len(depths):
+            trees += 1
+        counts.append(trees)
+    return counts
+
+
 def nodes_of(reps: DataFrame, trees: range, depth: int, percent: int, above: int | None = None) -> DataFrame:
     """``(node, rep, label)`` at a depth, and ``parent``: the node at depth ``above``.
 
@@ -253,7 +282,7 @@ def mixed_nodes(rows: DataFrame) -> DataFrame:
 
 
 def join(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE,
-         rounds: tuple[int, ...] = ROUNDS, depths: tuple[int, ...] = DEPTHS) -> DataFrame:
+         recall: float = RECALL, depths: tuple[int, ...] = DEPTHS) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)``, one row per row of ``docs(doc_id, text)``.
 
     Null and empty texts have an empty set and are linked with nothing.  Rows that share an id are one
@@ -264,17 +293,14 @@ def join(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE,
     classes = materialize(named.groupBy("set_key").agg(
         F.min("doc_id").alias("rep"), F.max("sig").alias("sig")), "classes")
     reps = classes.select("rep", "sig", F.col("rep").alias("label"))
-    met = nodes_of(reps, range(sum(rounds)), depths[0], percent)
+    counts = trees_for(percent, depths, recall)
+    met = nodes_of(reps, range(DEALING + counts[0]), depths[0], percent)
     company = met.join(mixed_nodes(met).select("node"), "node", "left_semi").select("rep").distinct()
     texts = materialize(docs.select(F.col("doc_id").cast("long"), "text").join(
         company.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi"), "texts")
     reps = materialize(reps.join(texts.select(F.col("doc_id").alias("rep")).distinct(), "rep", "left_semi"), "reps")
-    first = 0
-    for turn, trees in enumerate(rounds):
-        last = turn == len(rounds) - 1
-        links = _round(reps, texts, range(first, first + trees), depths if last else depths[:1],
-                       percent, width, turn, last)
-        first += trees
+    for turn, (first, trees, followed) in enumerate([(0, [DEALING], depths[:1]), (DEALING, counts, depths)]):
+        links = _round(reps, texts, first, trees, followed, percent, width, turn, last=turn == 1)
         reps = relabel(reps, links, f"reps-{turn}")
     groups = classes.join(reps.select("rep", "label"), "rep", "left").select(
         "set_key", F.coalesce("label", "rep").alias("component"))
@@ -283,10 +309,14 @@ def join(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE,
             .select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept")))
 
 
-def _round(reps: DataFrame, texts: DataFrame, trees: range, depths: tuple[int, ...], percent: int, width: int,
-           salt: int, last: bool) -> DataFrame:
-    """Links found by some trees, written; the last round follows large nodes down to ``depths[-1]``."""
-    rows = nodes_of(reps, trees, depths[0], percent)
+def _round(reps: DataFrame, texts: DataFrame, first: int, trees: list[int], depths: tuple[int, ...], percent: int,
+           width: int, salt: int, last: bool) -> DataFrame:
+    """Links found by ``trees`` (a number per depth) from tree ``first`` on, written.
+
+    The last round follows large nodes down to ``depths[-1]``; the documents in them also walk the trees that a
+    larger depth has more.
+    """
+    rows = nodes_of(reps, range(first, first + trees[0]), depths[0], percent)
     found = None
     for level, depth in enumerate(depths):
         rows = materialize(rows.select("node", "rep", "label"), f"nodes-{depth}")
@@ -303,8 +333,11 @@ def _round(reps: DataFrame, texts: DataFrame, trees: range, depths: tuple[int, .
             break
         large = large.select(F.col("node").alias("parent"))
         inside = rows.join(large, F.col("node") == F.col("parent"), "left_semi").select("rep").distinct()
-        rows = nodes_of(reps.join(inside, "rep", "left_semi"), trees, depths[level + 1], percent, depth).join(
-            large, "parent", "left_semi")
+        walkers = reps.join(inside, "rep", "left_semi")
+        old, new = first + trees[level], first + trees[level + 1]
+        rows = nodes_of(walkers, range(first, old), depths[level + 1], percent, depth).join(large, "parent", "left_semi")
+        if new > old:
+            rows = rows.unionByName(nodes_of(walkers, range(old, new), depths[level + 1], percent))
     return found
 
 

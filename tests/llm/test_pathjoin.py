@@ -88,3 +88,26 @@ def test_odd_rows(odd, empty):
     assert got[6]["n_shingles"] == 1 and got[8]["n_shingles"] == 1
     assert got[None]["component_id"] is None and got[None]["kept"] is None
     assert pathjoin.join(empty).count() == 0
+
+
+def test_single_links_inside_a_family(spark, monkeypatch):
+    """Pairs at the threshold inside a family of unlinked documents larger than a node may hold: no other link helps."""
+    monkeypatch.setattr(pathjoin, "SMALL", 8)
+    rng = random.Random(7)
+    words, texts, pairs = [f"w{i}" for i in range(130)], [], 400
+    for _ in range(pairs):
+        rng.shuffle(words)  # any word is in most documents: two of a family are about 0.63 alike, a pair 92 of 108
+        texts += [words[:100], words[8:108]]
+    rows = [(i, " ".join(w)) for i, w in enumerate(texts)]
+    got = found(pathjoin.join(spark.createDataFrame(rows, "doc_id long, text string"), width=1))
+    want = brute(rows, 1)
+    assert len({c for _, c in want.values()}) == pairs
+    assert all(got[i][1] in (i, want[i][1]) for i in got)
+    assert sum(got[i] != want[i] for i in got) <= 0.01 * pairs
+
+
+def test_trees_follow_the_target():
+    for percent in (80, 85):
+        counts = pathjoin.trees_for(percent, pathjoin.DEPTHS, pathjoin.RECALL)
+        assert sum(pathjoin.missed(percent, d, n) for d, n in zip(pathjoin.DEPTHS, counts)) <= 1 - pathjoin.RECALL
+        assert counts[0] >= 8 and counts == sorted(counts)
