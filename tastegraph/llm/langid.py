@@ -24,7 +24,6 @@ SAMPLE = 4000
 MIN_SHARE = 1e-4
 #: Weight of ``log(n) / 2`` for each further language; neighbouring trigrams share bytes, hence 3.
 PENALTY = 3.0
-MOST_LANGUAGES = 4
 UNKNOWN = "und"
 
 
@@ -81,14 +80,17 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, min_share: float = MIN_SHARE)
     return Model(codes, chance / chance.sum(axis=0), languages, prior / prior.sum())
 
 
-def mixture(counts: np.ndarray, chance: np.ndarray, most: int = MOST_LANGUAGES, penalty: float = PENALTY,
+def mixture(counts: np.ndarray, chance: np.ndarray, penalty: float = PENALTY,
             rounds: int = 30) -> tuple[list[int], np.ndarray]:
-    """Languages and shares for ``counts`` of trigrams whose chances per language are given."""
+    """Languages and shares for ``counts`` of trigrams whose chances per language are given.
+
+    Only the penalty ends the growth of the set, at the latest when all languages are in it.
+    """
     n = counts.sum()
     single = counts @ np.log(chance)
     chosen = [int(single.argmax())]
     shares, best = np.ones(1), single.max()
-    while len(chosen) < min(most, chance.shape[1]):
+    while len(chosen) < chance.shape[1]:
         # the likelihood is concave: a language whose share gains nothing at 0 never gains
         slope = (counts / (chance[:, chosen] @ shares)) @ chance / n
         tried = None

@@ -38,6 +38,12 @@ def test_em_finds_the_shares():
     assert langid.mixture(1000 * chance[:, 0], chance)[0] == [0]
 
 
+def test_more_than_four_languages():
+    chance = np.full((6, 6), 0.02) + 0.88 * np.eye(6)
+    chosen, shares = langid.mixture(6000 * chance.mean(axis=1), chance)
+    assert sorted(chosen) == list(range(6)) and np.allclose(shares, 1 / 6, atol=0.01)
+
+
 def test_odd_rows(odd, empty, learned):
     got = guesses(odd, learned)
     assert all(got[i]["lang_pred"] == "und" and got[i]["score"] == 0 for i in (3, 4, 5, 7))
