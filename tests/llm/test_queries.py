@@ -10,7 +10,7 @@ ROOT = "/root/testdata/sf0.01"
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "labels"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{ROOT}/{t}.parquet'")
     df = queries.QUERIES[name](spark, ROOT)
     columns = sorted(df.columns)
