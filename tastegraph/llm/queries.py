@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import tune
-from . import bpe, filteraudit, langid, mixing, packing, pathjoin, permindex, quality, rollups, simhash, toxicity, urlfilter
+from . import bpe, collocations, filteraudit, langid, mixing, packing, pathjoin, permindex, quality, rollups, simhash, toxicity, urlfilter
 
 
 def tuned(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -22,6 +22,7 @@ def tuned(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 QUERIES = {fn.__name__: tuned(fn) for fn in (
     mixing.op1_mix, langid.op2_language, pathjoin.op3_near_duplicates, toxicity.op4_toxicity,
     simhash.op5_simhash, quality.op6_quality, packing.op7_pack, rollups.op8_token_rollup,
-    urlfilter.op9_url_filter, permindex.op10_nearest, bpe.op12_bpe, filteraudit.op13_filter_audit)}
+    urlfilter.op9_url_filter, permindex.op10_nearest,
+    collocations.op11_collocations, bpe.op12_bpe, filteraudit.op13_filter_audit)}
 ORACLES = {"op1_mix": mixing.ORACLE, "op8_token_rollup": rollups.ORACLE, "op9_url_filter": urlfilter.ORACLE,
-           "op13_filter_audit": filteraudit.ORACLE}
+           "op11_collocations": collocations.ORACLE, "op13_filter_audit": filteraudit.ORACLE}
