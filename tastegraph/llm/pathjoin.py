@@ -10,19 +10,22 @@ depth it has to be found; deeper nodes are met more seldom and need more trees (
 What keeps hot groups cheap:
 
 * Equal sets are one class from the start and walk once.
-* After each round of trees the links found become components.  Within a node, only documents
-  of different components are compared, and a node inside one component is not visited.
-* The first rounds deal large nodes at random into small parts, which ties a large group of
-  near copies together without pairing it; only what is still in different components
-  afterwards walks deeper, and what no depth separates is compared part by part with all other parts.
+* Links found become components before the trees are followed further.  Only documents of different
+  components are compared, and a node inside one component is not visited.
+* A first round deals large nodes at random into small parts, which ties a large group of
+  near copies together without pairing it.  What stands beside such a group in a node visits
+  every part of it; the group itself is not paired.
+* Only a node in which many documents are outside its main component is followed deeper.
+* Signatures are compared first, and texts are made into sets only where those of two components come near.
 
 So no task holds more than two parts of ``SMALL`` documents, and nothing is dropped.
 """
 
 from __future__ import annotations
 
+import functools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -37,7 +40,7 @@ SHINGLE = 3
 PERCENT = 85
 #: Places of a signature; a node is compared exhaustively up to so many documents.
 PLACES, SMALL = 64, 256
-#: Trees of the first round, which only deals large nodes into parts, and the least number of the last.
+#: Trees of the first round, which only deals large nodes into parts, and the least number of the others.
 DEALING, LEAST = 4, 8
 #: Share of pairs at the threshold that meet in a node of the last round; what may be missed is shared by the depths.
 RECALL = 0.99
@@ -199,9 +202,14 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * same >= percent * (len(a) + len(b) - same)
 
 
-def linked(labels: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links between labels that tie together what similar documents connect; no pair inside one label."""
+def linked(labels: list[int], sketch: np.ndarray, shingles: Callable[[int], np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links between labels that tie together what similar documents connect; no pair inside one label.
+
+    ``shingles(i)`` is the full set of the i-th document, asked for only when its signature comes near another's.
+    """
     root = {k: k for k in labels}
+    if len(root) < 2:
+        return []
 
     def find(k: int) -> int:
         while root[k] != k:
@@ -209,76 +217,92 @@ def linked(labels: list[int], sets: list[np.ndarray], percent: int) -> list[tupl
             k = root[k]
         return k
 
-    links = []
-    order = sorted(range(len(sets)), key=lambda i: len(sets[i]))
-    sizes = np.array([len(sets[i]) for i in order], np.int64)
-    sketch = np.stack([signature(sets[i]) for i in order]) if len(order) > 2 else None
+    links, label = [], np.array(labels, np.int64)
     share = percent / 100
     least = PLACES * (share - SLACK * (share * (1 - share) / PLACES) ** 0.5)
-    for x, i in enumerate(order):
-        end = int(np.searchsorted(sizes, 100 * sizes[x] // percent, side="right"))  # larger ones are too large
-        near = range(x + 1, end) if sketch is None else x + 1 + np.flatnonzero(
-            (sketch[x + 1:end] == sketch[x]).sum(axis=1) >= least)
-        for j in map(order.__getitem__, near):
+    for i in range(len(labels) - 1):
+        others = i + 1 + np.flatnonzero(label[i + 1:] != label[i])
+        for j in others[(sketch[others] == sketch[i]).sum(axis=1) >= least].tolist():
             a, b = find(labels[i]), find(labels[j])
-            if a != b and similar(sets[i], sets[j], percent):
+            if a != b and similar(shingles(i), shingles(j), percent):
                 root[max(a, b)] = min(a, b)
                 links.append((min(a, b), max(a, b)))
     return links
 
 
 def compare(leaves: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
-    """``(src, dst)`` links of labels among rows ``(leaf, rep, label)``; texts are ``(doc_id, text)``.
+    """``(src, dst)`` links of labels among rows ``(leaf, rep, label)``; texts are ``(doc_id, sig, text)``.
 
     Rows are dealt by leaf and sorted by it, so a task holds one leaf at a time.
     """
 
     def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler(width)
-        open_leaf, labels, sets, found = None, [], [], []
+
+        def within(labels: list[int], sigs: list[bytes], own: list[str]) -> list[tuple[int, int]]:
+            sketch = np.frombuffer(b"".join(sigs), np.uint32).reshape(len(labels), PLACES)
+            return linked(labels, sketch, functools.cache(lambda i: shingler(own[i])), percent)
+
+        open_leaf, labels, sigs, own, found = None, [], [], [], []
         for batch in batches:
-            for leaf, label, text in zip(batch["leaf"], batch["label"], batch["text"]):
+            for leaf, label, sig, text in zip(batch["leaf"], batch["label"], batch["sig"], batch["text"]):
                 if leaf != open_leaf:
-                    found += linked(labels, sets, percent)
-                    open_leaf, labels, sets = leaf, [], []
+                    found += within(labels, sigs, own)
+                    open_leaf, labels, sigs, own = leaf, [], [], []
                 labels.append(label)
-                sets.append(shingler(text))
+                sigs.append(sig)
+                own.append(text)
             if found:
                 yield pd.DataFrame(found, columns=["src", "dst"])
                 found = []
-        yield pd.DataFrame(found + linked(labels, sets, percent), columns=["src", "dst"], dtype="int64")
+        yield pd.DataFrame(found + within(labels, sigs, own), columns=["src", "dst"], dtype="int64")
 
-    rows = leaves.join(texts, leaves["rep"] == texts["doc_id"]).select("leaf", "label", "text")
+    rows = leaves.join(texts, leaves["rep"] == texts["doc_id"]).select("leaf", "label", "sig", "text")
     return rows.repartition("leaf").sortWithinPartitions("leaf").mapInPandas(
         compared, "src long, dst long").distinct()
 
 
 def relabel(reps: DataFrame, links: DataFrame, label: str) -> DataFrame:
     """Labels become the least label they are connected with."""
+    if links.isEmpty():
+        return reps
     groups = components(links).select(F.col("vertex").alias("label"), "component")
     return materialize(reps.join(groups, "label", "left").select(
         "rep", "sig", F.coalesce("component", "label").alias("label")), label)
 
 
-def parts(rows: DataFrame, percent: int, salt: int, pairs: bool) -> DataFrame:
-    """``(leaf, rep, label)``: nodes dealt at random into parts of about ``SMALL`` documents.
+def mixed_nodes(rows: DataFrame) -> DataFrame:
+    """``(node, members, main, others)`` of nodes of more than one label: the most frequent one, and how many have another."""
+    return (rows.groupBy("node", "label").agg(F.count(F.lit(1)).alias("_n"))
+            .groupBy("node").agg(F.sum("_n").alias("members"), F.max_by("label", "_n").alias("main"), F.max("_n").alias("_most"))
+            .withColumn("others", F.col("members") - F.col("_most")).where("others > 0").drop("_most"))
+
 
-    ``pairs``: every part meets every other part of its node, so the node is compared whole.
-    """
-    n = F.ceil(F.col("members") / SMALL).cast("int")
-    own = F.pmod(F.xxhash64("rep", F.lit(salt)), n).cast("int")
-    if not pairs:
-        return rows.select(F.xxhash64("node", own).alias("leaf"), "rep", "label")
-    other = F.explode(F.sequence(F.lit(0), n - 1))
-    return rows.withColumn("_own", own).withColumn("_n", n).select("*", other.alias("_other")).where(
-        (F.col("_n") == 1) | (F.col("_own") != F.col("_other"))).select(
-        F.xxhash64("node", F.least("_own", "_other"), F.greatest("_own", "_other")).alias("leaf"), "rep", "label")
+def dealt(rows: DataFrame, salt: int) -> DataFrame:
+    """``(leaf, rep, label)``: nodes dealt at random into parts of about ``SMALL``, a row per row."""
+    part = F.pmod(F.xxhash64("rep", F.lit(salt)), F.ceil(F.col("members") / SMALL))
+    return rows.select(F.xxhash64("node", part).alias("leaf"), "rep", "label")
 
 
-def mixed_nodes(rows: DataFrame) -> DataFrame:
-    """``(node, members)`` of nodes that hold more than one label."""
-    return rows.groupBy("node").agg(F.count(F.lit(1)).alias("members"), F.min("label").alias("_a"),
-                                    F.max("label").alias("_b")).where(F.col("_a") < F.col("_b")).select("node", "members")
+def whole(rows: DataFrame) -> DataFrame:
+    """``(leaf, rep, label)`` so that any two documents of a node with different labels meet in a leaf.
+
+    In a node above ``SMALL``, those of the main label need not meet each other.  They are dealt into parts, and
+    each group of ``SMALL`` others visits every part: at most two rows a document when there is one group.
+    """
+    one = rows.where(F.col("members") <= SMALL).select(F.xxhash64("node").alias("leaf"), "rep", "label")
+    large = rows.where(F.col("members") > SMALL).withColumns({
+        "_parts": F.ceil((F.col("members") - F.col("others")) / SMALL), "_groups": F.ceil(F.col("others") / SMALL),
+        "_main": F.col("label") == F.col("main")}).withColumn(
+        "_own", F.pmod(F.xxhash64("rep", F.lit(0)), F.when(F.col("_main"), F.col("_parts")).otherwise(F.col("_groups"))))
+    every = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1)).alias("_at")
+    main = large.where("_main").select("*", every("_groups")).select(
+        F.xxhash64("node", "_own", "_at").alias("leaf"), "rep", "label")
+    others = large.where("NOT _main").select("*", every("_parts")).select(
+        F.xxhash64("node", "_at", "_own").alias("leaf"), "rep", "label")
+    among = large.where("NOT _main AND _groups > 1").select("*", every("_groups")).where("_own <> _at").select(
+        F.xxhash64("node", F.lit("others"), F.least("_own", "_at"), F.greatest("_own", "_at")).alias("leaf"), "rep", "label")
+    return one.unionByName(main).unionByName(others).unionByName(among)
 
 
 def join(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE,
@@ -296,12 +320,13 @@ def join(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE,
     counts = trees_for(percent, depths, recall)
     met = nodes_of(reps, range(DEALING + counts[0]), depths[0], percent)
     company = met.join(mixed_nodes(met).select("node"), "node", "left_semi").select("rep").distinct()
+    reps = materialize(reps.join(company, "rep", "left_semi"), "reps")
     texts = materialize(docs.select(F.col("doc_id").cast("long"), "text").join(
-        company.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi"), "texts")
-    reps = materialize(reps.join(texts.select(F.col("doc_id").alias("rep")).distinct(), "rep", "left_semi"), "reps")
-    for turn, (first, trees, followed) in enumerate([(0, [DEALING], depths[:1]), (DEALING, counts, depths)]):
-        links = _round(reps, texts, first, trees, followed, percent, width, turn, last=turn == 1)
-        reps = relabel(reps, links, f"reps-{turn}")
+        reps.select(F.col("rep").alias("doc_id"), "sig"), "doc_id"), "texts")
+    check = lambda leaves, label: materialize(compare(leaves, texts, percent, width), label)
+    first = materialize(nodes_of(reps, range(DEALING), depths[0], percent), "nodes-first")
+    reps = relabel(reps, check(dealt(first.join(mixed_nodes(first), "node"), 0), "links-first"), "reps-first")
+    reps = _branch(reps, counts, depths, percent, check)
     groups = classes.join(reps.select("rep", "label"), "rep", "left").select(
         "set_key", F.coalesce("label", "rep").alias("component"))
     return (profiles.join(groups, "set_key", "left")
@@ -309,36 +334,34 @@ def join(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE,
             .select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept")))
 
 
-def _round(reps: DataFrame, texts: DataFrame, first: int, trees: list[int], depths: tuple[int, ...], percent: int,
-           width: int, salt: int, last: bool) -> DataFrame:
-    """Links found by ``trees`` (a number per depth) from tree ``first`` on, written.
+def _branch(reps: DataFrame, counts: list[int], depths: tuple[int, ...], percent: int,
+            check: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """``reps`` with the labels that ``counts`` trees per depth tie together.
 
-    The last round follows large nodes down to ``depths[-1]``; the documents in them also walk the trees that a
-    larger depth has more.
+    A node is done when every two of its labels have met: in one leaf if it is small, the others
+    against its main label if only those are few.  What has many others is dealt once more at random, labels
+    are brought up to date, and what remains walks on, along its own trees and those a larger depth has more.
     """
-    rows = nodes_of(reps, range(first, first + trees[0]), depths[0], percent)
-    found = None
+    rows = nodes_of(reps, range(DEALING, DEALING + counts[0]), depths[0], percent)
     for level, depth in enumerate(depths):
         rows = materialize(rows.select("node", "rep", "label"), f"nodes-{depth}")
+        crowded = rows.join(mixed_nodes(rows).where(F.col("others") > SMALL), "node")
+        reps = relabel(reps, check(dealt(crowded, depth), f"dealt-{depth}"), f"reps-dealt-{depth}")
+        rows = rows.drop("label").join(reps.select("rep", "label"), "rep")
         active = materialize(mixed_nodes(rows), f"mixed-{depth}")
-        here = rows.join(active, "node")
-        final = level == len(depths) - 1
-        leaves = here if final else here.where(F.col("members") <= SMALL)
-        links = materialize(compare(parts(leaves, percent, salt, pairs=last), texts, percent, width), f"links-{depth}")
-        found = links if found is None else found.unionByName(links)
-        if final:
-            break
-        large = active.where(F.col("members") > SMALL)
-        if large.isEmpty():
-            break
-        large = large.select(F.col("node").alias("parent"))
-        inside = rows.join(large, F.col("node") == F.col("parent"), "left_semi").select("rep").distinct()
+        last = level == len(depths) - 1
+        few = F.lit(last) | (F.col("members") <= SMALL) | (F.col("others") <= SMALL)
+        reps = relabel(reps, check(whole(rows.join(active.where(few), "node")), f"links-{depth}"), f"reps-{depth}")
+        open_nodes = active.where(~few).select(F.col("node").alias("parent"))
+        if last or open_nodes.isEmpty():
+            return reps
+        inside = rows.join(open_nodes, F.col("node") == F.col("parent"), "left_semi").select("rep").distinct()
         walkers = reps.join(inside, "rep", "left_semi")
-        old, new = first + trees[level], first + trees[level + 1]
-        rows = nodes_of(walkers, range(first, old), depths[level + 1], percent, depth).join(large, "parent", "left_semi")
+        old, new = DEALING + counts[level], DEALING + counts[level + 1]
+        rows = nodes_of(walkers, range(DEALING, old), depths[level + 1], percent, depth).join(open_nodes, "parent", "left_semi")
         if new > old:
             rows = rows.unionByName(nodes_of(walkers, range(old, new), depths[level + 1], percent))
-    return found
+    return reps
 
 
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

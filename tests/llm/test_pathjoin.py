@@ -2,6 +2,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tastegraph.llm import pathjoin
 
@@ -111,3 +112,23 @@ def test_trees_follow_the_target():
         counts = pathjoin.trees_for(percent, pathjoin.DEPTHS, pathjoin.RECALL)
         assert sum(pathjoin.missed(percent, d, n) for d, n in zip(pathjoin.DEPTHS, counts)) <= 1 - pathjoin.RECALL
         assert counts[0] >= 8 and counts == sorted(counts)
+
+
+def test_rows_follow_the_size_of_a_group(spark):
+    """One node: a group of near copies beside some others, beside many others, and others only."""
+    def emitted(main, others):
+        rows = spark.range(main + others).select(F.lit(1).alias("node"), F.col("id").alias("rep"),
+                                                 F.greatest(F.col("id") - main, F.lit(0)).alias("label"))
+        rows = rows.join(pathjoin.mixed_nodes(rows), "node").cache()
+        return rows, pathjoin.whole(rows)
+
+    for main in (3_000, 30_000):
+        assert emitted(main, 200)[1].count() <= 2 * (main + 200)
+    for main, others in ((2_000, 700), (0, 600), (100, 100)):
+        rows, leaves = emitted(main, others)
+        where = {}
+        for r in leaves.collect():
+            where.setdefault(r["rep"], set()).add(r["leaf"])
+        labels = {r["rep"]: r["label"] for r in rows.collect()}
+        assert leaves.groupBy("leaf").count().agg(F.max("count")).first()[0] <= 2.6 * pathjoin.SMALL
+        assert all(where[a] & where[b] for a in labels for b in range(main, main + others) if labels[a] != labels[b])
