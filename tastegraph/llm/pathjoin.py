@@ -15,7 +15,7 @@ What keeps hot groups cheap:
 * A first round deals large nodes at random into small parts, which ties a large group of
   near copies together without pairing it.  What stands beside such a group in a node visits
   every part of it; the group itself is not paired.
-* Only a node in which many documents are outside its main component is followed deeper.
+* Only a node too mixed for that to stay linear is followed deeper.
 * Signatures are compared first, and texts are made into sets only where those of two components come near.
 
 So no task holds more than two parts of ``SMALL`` documents, and nothing is dropped.
@@ -29,7 +29,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.graph import components
@@ -46,6 +46,8 @@ DEALING, LEAST = 4, 8
 RECALL = 0.99
 #: Depths at which nodes are looked at.
 DEPTHS = (3, 6, 12)
+#: A node is compared whole where it is if that takes so many rows a member at most; deeper ones take many more.
+VISITS = 16
 #: Inside a node, a pair is looked at on full sets unless its signatures agree this many standard deviations
 #: less than they would at the threshold (a pair there is passed over once in some 300,000 times a node).
 SLACK = 5.0
@@ -305,6 +307,13 @@ def whole(rows: DataFrame) -> DataFrame:
     return one.unionByName(main).unionByName(others).unionByName(among)
 
 
+def visits() -> Column:
+    """Rows that :func:`whole` makes of a node above ``SMALL``."""
+    main, others = F.col("members") - F.col("others"), F.col("others")
+    parts, groups = F.ceil(main / SMALL), F.ceil(others / SMALL)
+    return main * groups + others * (parts + groups - 1)
+
+
 def join(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE,
          recall: float = RECALL, depths: tuple[int, ...] = DEPTHS) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)``, one row per row of ``docs(doc_id, text)``.
@@ -338,9 +347,9 @@ def _branch(reps: DataFrame, counts: list[int], depths: tuple[int, ...], percent
             check: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     """``reps`` with the labels that ``counts`` trees per depth tie together.
 
-    A node is done when every two of its labels have met: in one leaf if it is small, the others
-    against its main label if only those are few.  What has many others is dealt once more at random, labels
-    are brought up to date, and what remains walks on, along its own trees and those a larger depth has more.
+    What has many others beside its main label is dealt once more at random and labels are brought up to date.  A node
+    is done when every two of its labels have met: in one leaf if it is small, part by part if that takes at most
+    ``VISITS`` rows a member.  What remains walks on, along its own trees and those a larger depth has more.
     """
     rows = nodes_of(reps, range(DEALING, DEALING + counts[0]), depths[0], percent)
     for level, depth in enumerate(depths):
@@ -350,7 +359,7 @@ def _branch(reps: DataFrame, counts: list[int], depths: tuple[int, ...], percent
         rows = rows.drop("label").join(reps.select("rep", "label"), "rep")
         active = materialize(mixed_nodes(rows), f"mixed-{depth}")
         last = level == len(depths) - 1
-        few = F.lit(last) | (F.col("members") <= SMALL) | (F.col("others") <= SMALL)
+        few = F.lit(last) | (F.col("members") <= SMALL) | (visits() <= VISITS * F.col("members"))
         reps = relabel(reps, check(whole(rows.join(active.where(few), "node")), f"links-{depth}"), f"reps-{depth}")
         open_nodes = active.where(~few).select(F.col("node").alias("parent"))
         if last or open_nodes.isEmpty():
