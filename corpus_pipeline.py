@@ -26,27 +26,32 @@ def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def of_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted on the labels of what has come this far, calls good."""
+    """Documents that the classifier, fitted on the labels of what has come this far, calls good.
+
+    Rows without an id or a label are scored like all others; null and empty texts have a score too.
+    """
     score = quality.scorer(quality.learn(docs, read(spark, sf_dir, "labels", "doc_id", "quality")))
     return docs.where(score(F.col("text")) >= quality.THRESHOLD)
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near copies, by five-word shingles and a similarity of 0.8.
+    """The first row of each group of near copies, by five-word shingles and a similarity of 0.8.
 
-    Rows that share an id are one document; rows without an id go.
+    Rows are numbered as they stand, so rows that share an id and rows without one are told apart by
+    their texts like all others; of equal rows one stays.  Null and empty texts are copies of nothing.
     """
-    kept = pathjoin.join(docs, percent=80, width=5).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    rows = materialize(docs.withColumn("_dedup_row", F.monotonically_increasing_id()), "dedup-rows")
+    kept = pathjoin.join(rows.select(F.col("_dedup_row").alias("doc_id"), "text"), percent=80, width=5).where("kept")
+    return rows.join(kept.select(F.col("doc_id").alias("_dedup_row")), "_dedup_row", "left_semi").select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the target weights of the sources ask for."""
+    """Each row as often as the target weights of the sources ask for, whatever its id; a null source is a source."""
     return mixing.emit(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents with their places in sequences of 1,024 tokens."""
+    """Pieces of the documents with their places in sequences of 1,024 tokens; a null text is the end id alone."""
     return packing.pack(packing.cut(docs))
 
 

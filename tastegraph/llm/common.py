@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import zlib
+from collections.abc import Callable
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,3 +33,14 @@ def id_mod(doc_id: Column, n: int) -> Column:
 def crc_mod(doc_id: int | None, n: int) -> int:
     """The same on a Python value."""
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % n
+
+
+T = TypeVar("T")
+
+
+def per_worker(key: tuple, make: Callable[[], T]) -> T:
+    """What ``make`` gives, once per Python worker: tasks that a worker runs later find it again."""
+    kept = sys.modules.setdefault("tastegraph_worker", types.ModuleType("tastegraph_worker")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]

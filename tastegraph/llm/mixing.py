@@ -86,16 +86,16 @@ def mix_sizes(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, most: float
 
 
 def emit(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: float = MOST, seed: int = SEED) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes its document.
+    """The rows of ``docs``, each as often as the mix takes it.
 
-    Documents are told apart by doc_id: of rows that share one, one is left, and rows without
-    an id are left out.
+    Every row is a document of its own, whatever its id: rows without an id and rows that share one too.  The
+    rows are written with a number first, so that reruns agree.
     """
-    own = docs.where(F.col("doc_id").isNotNull())
-    sizes = own.groupBy("doc_id").agg(F.min(F.struct("source", word_count(F.col("text")).alias("size"))).alias("s"))
-    taken = mix_sizes(sizes.select("doc_id", "s.source", "s.size"), weights, most, seed).where(
-        F.col("copies") > 0).select(F.col("doc_id").alias("_mix_id"), F.col("copies").alias("_mix_copies"))
-    return (own.join(taken, F.col("doc_id") == F.col("_mix_id")).dropDuplicates(["doc_id"])
+    rows = materialize(docs.withColumn("_mix_row", F.monotonically_increasing_id()), "mix-rows")
+    taken = mix_sizes(rows.select(F.col("_mix_row").alias("doc_id"), "source", word_count(F.col("text")).alias("size")),
+                      weights, most, seed).where(F.col("copies") > 0).select(
+        F.col("doc_id").alias("_mix_row"), F.col("copies").alias("_mix_copies"))
+    return (rows.join(taken, "_mix_row")
             .withColumn("_mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix_copies"))))
             .select(*docs.columns))
 

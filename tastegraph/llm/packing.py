@@ -20,12 +20,12 @@ from pyspark.sql import functions as F
 
 from ..operators.ranking import numbered
 from ..session import materialize
-from .common import read
+from .common import per_worker, read
 
 CAPACITY = 1024
 END_ID = 2
-#: Words kept in the encoder's cache of a task; more start it anew.
-CACHED_WORDS = 400_000
+#: Words kept in the encoder's cache of a Python worker; more start it anew.
+CACHED_WORDS = 600_000
 #: Marks that, after letters, are an atom of their own.
 MARKS = list(".,;:!?")
 
@@ -139,7 +139,7 @@ def cut(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, path: s
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encode, end = encoder(path), end_id.to_bytes(4, "little")
+        encode, end = per_worker(("encoder", path), lambda: encoder(path)), end_id.to_bytes(4, "little")
         for batch in batches:
             for lo in range(0, len(batch), 256):
                 part = batch.iloc[lo:lo + 256]

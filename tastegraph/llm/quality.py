@@ -28,6 +28,8 @@ THRESHOLD = 0.7
 #: Share of an n-gram's own weight in its final one; the rest is the mean size of all weights.
 SMOOTH = 0.25
 CACHED_WORDS = 300_000
+#: A token of more characters (unspaced script, words joined by marks) is cut, so that all of it is seen.
+LONG, PARTS = 40, re.compile(r"\w{1,12}|[^\w]+")
 RUNS = ((re.compile(r"[^\W\d_]{2,}"), lambda m: "AA" if m[0].isupper() else "Aa" if m[0][0].isupper() else "a"),
         (re.compile(r"\d+"), lambda m: "0"), (re.compile(r"([^\w])\1{2,}"), lambda m: m[1] * 3))
 
@@ -35,7 +37,15 @@ RUNS = ((re.compile(r"[^\W\d_]{2,}"), lambda m: "AA" if m[0].isupper() else "Aa"
 def shape(word: str) -> int:
     for pattern, short in RUNS:
         word = pattern.sub(short, word)
-    return zlib.crc32(word[:12].encode("utf-8", "surrogatepass"))
+    return zlib.crc32(word.encode("utf-8", "surrogatepass"))
+
+
+def cut_words(text: str) -> list[str]:
+    """Tokens between white space; longer ones than ``LONG`` are cut into marks and up to 12 letters each."""
+    words = text.split()
+    if not any(len(w) > LONG for w in set(words)):
+        return words
+    return [part for w in words for part in ([w] if len(w) <= LONG else PARTS.findall(w))]
 
 
 def ngrams():
@@ -44,7 +54,7 @@ def ngrams():
     shapes: list[int] = []
 
     def of(text: str) -> np.ndarray:
-        words = text.split()
+        words = cut_words(text)
         if len(numbers) > CACHED_WORDS:
             numbers.clear()
             shapes.clear()

@@ -31,12 +31,22 @@ MIN_SHARE = 0.005
 THRESHOLD = 0.7
 CACHED_WORDS = 300_000
 EDGES = re.compile(r"^[\W_]+|[\W_]+$")
+INNER = re.compile(r"[\W_]+")
 
 
 def word_features(token: str) -> list[int]:
-    """Of a token: the word and its beginnings of four to seven letters, hashed."""
-    word = EDGES.sub("", token.lower())
-    names = [f"={word}", *[f"^{word[:k]}" for k in (4, 5, 6, 7) if len(word) >= k]] if word else []
+    """Of a token, hashed: the whole, and of each run of letters in it the word and its beginnings of four to seven letters.
+
+    Runs in a script without case (most of those that don't put spaces between words) also give all their
+    two and three neighbouring characters.
+    """
+    whole = EDGES.sub("", token.lower())
+    names = {f"={whole}"} if whole else set()
+    for word in INNER.split(whole):
+        if word:
+            names.update([f"={word}", *[f"^{word[:k]}" for k in (4, 5, 6, 7) if len(word) >= k]])
+            if not word.isascii() and word.upper() == word:
+                names.update(f"~{word[i:i + k]}" for k in (2, 3) for i in range(len(word) - k + 1))
     return [zlib.crc32(n.encode("utf-8", "surrogatepass")) % HASHED for n in names]
 
 

@@ -69,3 +69,15 @@ def test_odd_rows(spark, odd, empty, module, label):
         assert got[3] == got[4] == got[5]
     score = module.scorer(module.learn(empty, labels))
     assert empty.select(score(F.col("text"))).count() == 0
+
+
+def test_ends_of_long_tokens_are_seen():
+    from tastegraph.llm import quality, toxicity
+
+    of = quality.ngrams()
+    long = "語" * 200
+    assert set(of(long + "。1。2。3 a")) - set(of(long + " a")) and quality.shape("a-b-c-d-e-f-g-1") != quality.shape("a-b-c-d-e-f-g-!")
+    assert quality.cut_words("日本" * 30 + " short") == ["日本" * 6] * 5 + ["short"]
+    for clean, toxic in (("これは良い本です", "ばか"), ("fine/", "insult"), ("a-b-c-", "insult")):
+        assert set(toxicity.word_features(toxic)) - set(toxicity.word_features(clean)) and any(
+            f in toxicity.word_features(clean + toxic) for f in set(toxicity.word_features(toxic)) - set(toxicity.word_features(clean)))

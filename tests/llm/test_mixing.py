@@ -1,5 +1,7 @@
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from tastegraph.llm import mixing
 
 
@@ -29,5 +31,8 @@ def test_odd_rows(odd, empty):
     assert sum(r["size"] for r in rows if r["doc_id"] in (3, 4, 5)) == 0
     out = mixing.emit(odd)
     assert out.columns == odd.columns
-    assert out.where("doc_id is null").count() == 0
+    taken = mixing.mix_sizes(odd.select(F.monotonically_increasing_id().alias("doc_id"), "source", mixing.word_count(F.col("text")).alias("size")))
+    assert out.count() == taken.agg(F.sum("copies")).first()[0]
+    many = odd.where("source = 'a'").unionByName(odd.where("doc_id is null"))
+    assert mixing.emit(many, [1]).where("doc_id is null").count() == 2  # one source takes its own size: every row once
     assert mixing.mix(empty).count() == mixing.emit(empty).count() == 0
