@@ -24,7 +24,8 @@ def top_k(df: DataFrame, keys: list[str], order: list[Column], k: int,
     """
     name = rank or "_rk"
     if k > GROUP_LIMIT:
-        part = F.pmod(F.xxhash64(*df.columns), F.lit(PARTS))
+        plain = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]  # maps have no hash
+        part = F.pmod(F.xxhash64(*plain), F.lit(PARTS))
         first = Window.partitionBy(*keys, "_part").orderBy(*order)
         df = df.withColumn("_part", part).withColumn("_rk_part", F.row_number().over(first)).where(
             F.col("_rk_part") <= k).drop("_part", "_rk_part")

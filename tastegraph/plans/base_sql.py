@@ -42,14 +42,14 @@ for entity, by, short in (("itemid", "userid", "item"), ("userid", "itemid", "us
 SELECT l.{entity} AS a, r.{entity} AS b, count(*) AS size, sum(l.rate * r.rate) AS dot,
        sum(l.rate) AS sx, sum(r.rate) AS sy, sum(l.rate * l.rate) AS sxx,
        sum(r.rate * r.rate) AS syy, max(l.n_{short}) AS na, max(r.n_{short}) AS nb
-FROM counted l JOIN counted r ON l.{by} = r.{by} AND l.{entity} < r.{entity} GROUP BY 1, 2""")
+FROM counted l JOIN counted r ON l.{by} = r.{by} AND l.{entity} < r.{entity} GROUP BY 1, 2""", stored=True)
     cte(f"{short}_near", f"""
 SELECT a, b, sim FROM (
   SELECT a, b, sim, row_number() OVER (PARTITION BY a ORDER BY sim DESC, b) AS rk FROM (
     SELECT a, b, round(dot / (sqrt(sxx) * sqrt(syy)) * size / (na * log10(nb + 10)), 9) AS sim
     FROM (SELECT a, b, size, dot, sxx, syy, na, nb FROM {short}_pairs
           UNION ALL SELECT b, a, size, dot, syy, sxx, nb, na FROM {short}_pairs)))
-WHERE rk <= 50""")
+WHERE rk <= 50""", stored=True)
     cte(f"{short}_kept", f"""
 SELECT p.* FROM {short}_pairs p JOIN (SELECT DISTINCT least(a, b) AS a, greatest(a, b) AS b FROM {short}_near) n
 ON p.a = n.a AND p.b = n.b""")

@@ -7,6 +7,7 @@ import uuid
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from ..functions.vectors import parts
 from ..session import scratch_path
 from ..sources import sinks, text_files
 from ..sources.tables import load_items, load_ratings, table
@@ -70,6 +71,23 @@ def src_labeled_points(spark, root):
             array, lambda v: F.round(v * 1000000).cast("bigint").cast("string")), ",").alias("features"))
 
 
+@query("src_sparse_points", """
+SELECT CAST(label AS DOUBLE) AS label, len(embedding) AS size, array_to_string([i - 1 FOR i IN places], ',') AS indices,
+       array_to_string([CAST(round(CAST(embedding[i] AS DOUBLE) * 1000000) AS BIGINT) FOR i IN places], ',') AS features
+FROM (SELECT *, [i FOR i IN range(1, len(embedding) + 1) IF abs(embedding[i]) >= 0.1] AS places FROM embeddings)""")
+def src_sparse_points(spark, root):
+    """Points of which only the entries of at least 0.1 are kept, through text lines and sparse vectors."""
+    v = F.transform("embedding", lambda x: x.cast("double"))
+    at = F.filter(F.sequence(F.lit(0), F.size("embedding") - 1), lambda i: F.abs(F.get(F.col("embedding"), i)) >= F.lit(0.1).cast("float"))
+    text = lambda xs: F.concat(F.lit("["), F.array_join(xs.cast("array<string>"), ","), F.lit("]"))
+    line = F.concat(F.lit("("), F.col("label").cast("string"), F.lit(",("), F.size("embedding").cast("string"), F.lit(","), text(at),
+                    F.lit(","), text(F.transform(at, lambda i: F.get(v, i))), F.lit("))"))
+    path = _written(table(spark, root, "embeddings", "label", "embedding").select(line.alias("value")), ",", "sparse-points")
+    got = text_files.read_sparse_points(spark, path).select("label", parts(F.col("features")).alias("v"))
+    return got.select("label", F.col("v.size").cast("bigint").alias("size"), F.array_join(F.col("v.indices").cast("array<string>"), ",").alias("indices"),
+                      F.array_join(F.transform("v.values", lambda x: F.round(x * 1000000).cast("bigint").cast("string")), ",").alias("features"))
+
+
 @query("app_dict", """
 SELECT CAST(s_suppkey AS VARCHAR) AS appid, s_name AS appname FROM supplier WHERE s_suppkey % 7 <> 0""")
 def app_dict(spark, root):
@@ -92,8 +110,8 @@ def dict_upsert(spark, root):
     keys = F.array(F.col("c_nationkey").cast("string"), F.concat("c_mktsegment", F.col("c_custkey").cast("string")))
     new = c.select(F.explode(keys).alias("key"), F.col("c_name").alias("value"), F.col("c_custkey").alias("seq"))
     path = scratch_path(spark, "dict")
-    sinks.upsert_dict(new, old).write.parquet(path)
-    return spark.read.parquet(path)
+    sinks.upsert_table(old, path)
+    return sinks.upsert_table(new, path).select("key", "value", "seq")
 
 
 @query("sink_append_roundtrip", """
@@ -108,6 +126,17 @@ def sink_append_roundtrip(spark, root):
     return spark.read.schema("userid bigint, itemid bigint, rate double").parquet(path)
 
 
+@query("sink_append_once", """
+SELECT userid, itemid, rate, 'all' AS batch FROM ratings UNION ALL SELECT userid, itemid, rate, 'good' FROM ratings WHERE rate > 3""")
+def sink_append_once(spark, root):
+    """Two named batches, the first of them run twice."""
+    path, r = scratch_path(spark, "append-once"), load_ratings(spark, root).select("userid", "itemid", "rate")
+    sinks.append_once(r, path, "all")
+    sinks.append_once(r.where(F.col("rate") > 3), path, "good")
+    sinks.append_once(r, path, "all")
+    return spark.read.schema("userid bigint, itemid bigint, rate double, batch string").parquet(path)
+
+
 @query("sink_json_roundtrip", "SELECT itemid, title, genre FROM items")
 def sink_json_roundtrip(spark, root):
     path = scratch_path(spark, "json")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import similarity as S
@@ -21,9 +22,20 @@ def _stored(spark, root):
     return materialize(cf.cap(load_ratings(spark, root)), "ratings")
 
 
+#: Written neighbour lists of this session by application, input and entity.
+NEAR: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _near(spark, root, entity):
+    """The ratings and their stored neighbour list, searched once per input."""
+    r, key = _stored(spark, root), (spark.sparkContext.applicationId, root, entity)
+    if key not in NEAR:
+        NEAR[key] = materialize((item_neighbours if entity == "itemid" else user_neighbours)(r), "near")
+    return r, NEAR[key]
+
+
 def _item_pairs(spark, root):
-    r = _stored(spark, root)
-    return cf.kept_pair_stats(r, item_neighbours(r), "itemid", "userid")
+    return cf.kept_pair_stats(*_near(spark, root, "itemid"), "itemid", "userid")
 
 
 def cf_oracle(by: str, target: str, near: str, seen: str) -> str:
@@ -79,8 +91,7 @@ def item_pair_stats(spark, root):
 
 @query("user_pair_stats", f"SELECT {', '.join(PAIR_COLUMNS)} FROM user_kept")
 def user_pair_stats(spark, root):
-    r = _stored(spark, root)
-    return cf.kept_pair_stats(r, user_neighbours(r), "userid", "itemid").select(*PAIR_COLUMNS)
+    return cf.kept_pair_stats(*_near(spark, root, "userid"), "userid", "itemid").select(*PAIR_COLUMNS)
 
 
 @query("item_neighbours", "SELECT a, b, sim FROM item_near")

@@ -13,10 +13,14 @@ from ..session import tune
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 CTES: dict[str, str] = {}
+STORED: set[str] = set()
 
 
-def cte(name: str, body: str) -> None:
+def cte(name: str, body: str, stored: bool = False) -> None:
+    """A table expression; ``stored`` ones are computed once, so nothing above moves into their joins."""
     CTES[name] = body.strip()
+    if stored:
+        STORED.add(name)
 
 
 def with_ctes(body: str) -> str:
@@ -30,7 +34,7 @@ def with_ctes(body: str) -> str:
                 visit(CTES[name])
 
     visit(body)
-    parts = [f"{n} AS (\n{b}\n)" for n, b in CTES.items() if n in needed]
+    parts = [f"{n} AS {'MATERIALIZED ' if n in STORED else ''}(\n{b}\n)" for n, b in CTES.items() if n in needed]
     return (f"WITH RECURSIVE {', '.join(parts)}\n{body.strip()}" if parts else body.strip())
 
 

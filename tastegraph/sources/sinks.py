@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
+
+from ..session import materialize
 
 
 def append_table(df: DataFrame, name: str) -> None:
@@ -48,3 +52,46 @@ def upsert_dict(new: DataFrame, old: DataFrame) -> DataFrame:
     """Merge ``(key, value, seq)`` rows: the highest ``seq`` of a key wins."""
     return old.unionByName(new).groupBy("key").agg(
         F.max_by("value", F.struct("seq", "value")).alias("value"), F.max("seq").alias("seq"))
+
+
+def upsert_table(new: DataFrame, path: str, buckets: int = 64) -> DataFrame:
+    """Upsert ``(key, value, seq)`` rows into the dictionary stored below ``path``; the merged table.
+
+    The dictionary is partitioned by a hash of the key.  Only buckets in which a new row wins are read and
+    written again, each as a whole, so files of other buckets stay as they are, the same rows once more
+    change nothing, and a job that is run again after a failure ends with the same table.
+    The number of buckets is kept with the data: every call for a path must name the same one.
+    """
+    spark = new.sparkSession
+    schema = StructType([*new.select("key", "value", "seq").schema.fields, StructField("bucket", IntegerType())])
+    bucket = F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int")
+    rows = new.select("key", "value", "seq")
+    own = materialize(upsert_dict(rows, rows.limit(0)).withColumn("bucket", bucket), "upsert-new")
+    stored = lambda: spark.read.schema(schema).option("basePath", path).parquet(path)
+    try:
+        old = stored()
+        old.isEmpty()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        own.repartition("bucket").write.partitionBy("bucket").parquet(path)
+        return stored()
+    before = old.select("key", F.col("value").alias("_value"), F.col("seq").alias("_seq"), F.col("bucket").alias("_bucket"))
+    wins = own.join(before, (own["key"].eqNullSafe(before["key"])) & (own["bucket"] == before["_bucket"]), "left").where(
+        F.col("_seq").isNull() | (F.struct("seq", "value") > F.struct(F.col("_seq"), F.col("_value"))))
+    touched = [r["bucket"] for r in wins.select("bucket").distinct().collect()]  # at most the number of buckets
+    if touched:
+        here = F.col("bucket").isin(touched)
+        merged = upsert_dict(own.where(here).drop("bucket"), old.where(here).drop("bucket")).withColumn("bucket", bucket)
+        materialize(merged, "upsert-merged").repartition("bucket").write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+    return stored()
+
+
+def append_once(df: DataFrame, path: str, batch: str, column: str = "batch") -> None:
+    """Append the rows of a named batch to the table stored below ``path``.
+
+    A batch is a partition and replaces itself: a job that is run twice, or again after it failed half-way, appends once.
+    """
+    df.withColumn(column, F.lit(batch)).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import literal_pattern
+from ..functions.vectors import sparse_vector
 
 RATING_TYPES = (("userid", "bigint"), ("itemid", "bigint"), ("rate", "double"), ("ts", "bigint"))
 
@@ -78,8 +79,19 @@ def read_app_dict(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     return parse_app_dict(spark.read.text(path), sep)
 
 
+def read_sparse_points(spark: SparkSession, path: str) -> DataFrame:
+    """``(label, features)`` from lines ``(label,(size,[i1,i2,...],[v1,v2,...]))``: sparse vectors."""
+    pattern = r"^\(\s*([^,]+)\s*,\s*\(\s*(\d+)\s*,\s*\[(.*)\]\s*,\s*\[(.*)\]\s*\)\s*\)$"
+    part = lambda i: F.regexp_extract("value", pattern, i)
+    numbers = lambda i, t: F.transform(F.filter(F.split(part(i), ","), lambda v: F.trim(v) != ""),
+                                       lambda v: F.trim(v).try_cast(t))
+    return spark.read.text(path).select(
+        part(1).try_cast("double").alias("label"),
+        sparse_vector(part(2).try_cast("int"), numbers(3, "int"), numbers(4, "double")).alias("features"))
+
+
 def read_labeled_points(spark: SparkSession, path: str) -> DataFrame:
-    """``(label, features)`` from lines ``(label,[f1,f2,...])``."""
+    """``(label, features)`` from lines ``(label,[f1,f2,...])``: dense vectors."""
     pattern = r"^\(\s*([^,]+)\s*,\s*\[(.*)\]\s*\)$"
     values = F.transform(F.split(F.regexp_extract("value", pattern, 2), ","),
                          lambda v: F.trim(v).try_cast("double"))

@@ -82,3 +82,37 @@ def test_stream_batches_and_replay(spark, tmp_path):
 def test_retrain_serves_only_known_users(spark):
     df = Q["stream_retrain"](spark, ROOT)
     assert df.count() > 0 and df.where("userid >= 30").isEmpty() and df.where("not finite").isEmpty()
+
+
+def test_concurrent_fits_take_the_first_of_equal_errors(spark, monkeypatch):
+    """Whatever ends first; failures are not swallowed."""
+    import time
+
+    r = evaluate.time_split(load_ratings(spark, ROOT))
+    train, valid = r.where("split = 'train'"), r.where("split = 'validation'")
+    fitted, own = als.train(train, 2, 1, 0.1), []
+
+    def slow(df, rank, iters, reg, seed):
+        time.sleep(0.3 * (3 - rank))
+        own.append(rank)
+        return fitted
+
+    monkeypatch.setattr(als, "train", slow)
+    monkeypatch.setattr(als, "predict", lambda model, pairs: pairs.withColumn("prediction", pairs["rate"]))
+    _, trials = als.grid_search(train, valid, (1, 2, 3), (0.1,), (1,), parallel=3)
+    assert own == [3, 2, 1] and trials == [(k, 0.1, 1, 0.0) for k in (1, 2, 3)]
+    monkeypatch.setattr(als, "train", lambda *a, **b: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        als.grid_search(train, valid, (1,), (0.1,), (1,))
+
+
+def test_a_swapped_item_is_not_the_best(spark):
+    from pyspark.sql import functions as F
+
+    from tastegraph.plans import models
+
+    model = als.train(load_ratings(spark, ROOT), 4, 2, 0.1)
+    recs = als.recommend_all_users(model, 3).where("userid < 20")
+    assert models._best(model, recs, "userid", "itemid", 3).agg(F.every("best")).first()[0]
+    swapped = recs.withColumn("itemid", F.when(F.col("rank") == 1, F.lit(3)).otherwise(F.col("itemid")))
+    assert not models._best(model, swapped, "userid", "itemid", 3).where("rank = 1 AND itemid = 3").agg(F.every("best")).first()[0]

@@ -225,3 +225,61 @@ def test_clipped_error_ignores_unscored_rows(spark):
     df = spark.createDataFrame([(1.0, 3.0), (0.0, None)], "rate double, prediction double")
     got = evaluate.errors(df, clip=True).first()
     assert (got["n_all"], got["n_matched"], got["mse"]) == (2, 1, 0.0)
+
+
+def test_sparse_vectors(spark):
+    from pyspark.ml.linalg import SparseVector
+
+    from tastegraph.functions import vectors
+
+    rows = [(5, [0, 3], [0.1, -2.5e-300]), (3, [], []), (None, [0], [1.0]), (2, None, [1.0]), (4, [3], [float("nan")])]
+    df = spark.createDataFrame(rows, "size int, at array<int>, v array<double>")
+    made = df.select(vectors.sparse_vector(F.col("size"), F.col("at"), F.col("v")).alias("x"))
+    assert "Python" not in made._jdf.queryExecution().toString()
+    got = [r["x"] for r in made.collect()]
+    assert all(isinstance(x, SparseVector) for x in got[:2]) and got[2] is None and got[3] is None
+    assert (got[0].size, list(got[0].indices), list(got[0].values)) == rows[0] and got[1] == SparseVector(3, [], [])
+    assert got[4].values[0] != got[4].values[0]
+    dense = spark.createDataFrame([([0.0, 2.0, 0.0],), ([],), ([1.0],)], "d array<double>")
+    assert [r["x"] for r in dense.select(vectors.sparse_of(F.col("d")).alias("x")).collect()] == [
+        SparseVector(3, [1], [2.0]), SparseVector(0, [], []), SparseVector(1, [0], [1.0])]
+    for size, at, v in ((2, [1, 1], [1.0, 1.0]), (2, [2], [1.0]), (2, [-1], [1.0]), (2, [0], [1.0, 2.0]), (2, [0], [None])):
+        bad = spark.createDataFrame([(size, at, v)], df.schema)
+        with pytest.raises(Exception, match="no sparse vector"):
+            bad.select(vectors.sparse_vector(F.col("size"), F.col("at"), F.col("v")).alias("x")).collect()
+
+
+def files(path):
+    return {p.relative_to(path) for p in path.rglob("*.parquet")}
+
+
+def test_upsert_rewrites_touched_buckets_only(spark, tmp_path):
+    path, rows = tmp_path / "dict", [(f"k{i}", f"v{i}", i) for i in range(500)] + [(None, "none", 1)]
+    sinks.upsert_table(spark.createDataFrame(rows, "key string, value string, seq long"), str(path), 16)
+    first = files(path)
+    new = spark.createDataFrame([("k7", "newer", 900), ("k7", "newest", 901), ("k8", "stale", 1), ("k9", "v9", 9)],
+                                "key string, value string, seq long")
+    got = sinks.upsert_table(new, str(path), 16)
+    assert {(r["key"], r["value"], r["seq"]) for r in got.collect()} == {*rows, ("k7", "newest", 901)} - {rows[7]}
+    second = files(path)
+    changed = {p.parts[0] for p in first ^ second}
+    assert len(changed) == 1 and first & second
+    assert sinks.upsert_table(new, str(path), 16).count() == 501 and files(path) == second  # the same rows change nothing
+
+
+def test_append_once(spark, tmp_path):
+    path = tmp_path / "table"
+    one, two = spark.range(5).toDF("x"), spark.range(5, 8).toDF("x")
+    sinks.append_once(one, str(path), "a")
+    kept = files(path)
+    sinks.append_once(two, str(path), "b")
+    sinks.append_once(two, str(path), "b")
+    assert sorted((r["x"], r["batch"]) for r in spark.read.parquet(str(path)).collect()) == [
+        (i, "a" if i < 5 else "b") for i in range(8)]
+    assert kept < files(path)
+
+
+def test_large_k_with_maps(spark):
+    df = spark.range(3000).select(F.lit(1).alias("g"), "id", F.create_map(F.lit("a"), "id").alias("m"))
+    got = [r["id"] for r in top_k(df, ["g"], [F.desc("id")], 1001).collect()]
+    assert sorted(got) == list(range(1999, 3000))
