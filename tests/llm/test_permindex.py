@@ -94,9 +94,26 @@ def test_copies_are_one_pivot(spark):
     """Queries outside the copies keep their recall, for all pivots differ."""
     ids, vectors, same, df = a_third_copies(spark)
     rows = permindex.usable(df)
-    pivots = permindex.pivot_sample(permindex.distinct_vectors(rows, 6))
+    pivots, _ = permindex.pivot_sample(permindex.distinct_vectors(rows, 6))
     assert len(pivots) == len(np.unique(pivots, axis=0)) == permindex.PIVOTS
     found = recalls(ids, vectors, df)
     inside = set(ids[same].tolist())
     assert np.mean([r for q, r in found.items() if q not in inside]) >= 0.9
     assert np.mean(list(found.values())) >= 0.9
+
+
+def test_a_third_near_copies(spark):
+    """More near copies than are ranked again, no two equal: recall inside and outside of them, and pivots that stand apart."""
+    rng = np.random.default_rng(6)
+    n = 6000
+    vectors = rng.normal(size=(n, 64))
+    same = rng.random(n) < 1 / 3
+    vectors[same] = vectors[same][0] + rng.normal(size=(int(same.sum()), 64)) * 0.1
+    vectors = vectors.astype(np.float32).astype(float)
+    df = spark.createDataFrame([(i, v.tolist(), None, None) for i, v in enumerate(vectors)], SCHEMA)
+    pivots, local = permindex.pivot_sample(permindex.distinct_vectors(permindex.usable(df), 6))
+    near = pivots @ pivots.T
+    assert len(pivots) == permindex.PIVOTS and near[~np.eye(len(pivots), dtype=bool)].max() <= permindex.APART and len(local) == 1
+    found = recalls(np.arange(n), vectors, df)
+    assert np.mean([r for q, r in found.items() if same[q]]) >= 0.9
+    assert np.mean([r for q, r in found.items() if not same[q]]) >= 0.9
