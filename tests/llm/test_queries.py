@@ -26,7 +26,7 @@ def test_one_query_per_operator():
 
 
 def test_pipeline(spark, odd, empty):
-    """Each stage against its rule on the rows before it, and on odd and empty tables."""
+    """Columns and falling counts stage by stage, and odd and empty tables."""
     import corpus_pipeline as p
 
     docs = spark.read.parquet(f"{ROOT}/documents.parquet")
@@ -42,3 +42,30 @@ def test_pipeline(spark, odd, empty):
             assert stage(spark, start, ROOT).columns == start.columns
             stage(spark, start, ROOT).count()
         p.STAGES[4][1](spark, start, ROOT).count()
+
+
+def test_near_duplicate_stage_by_its_rule(spark, odd):
+    """One row of each group that all pairs give, rows without an id and rows that share one included."""
+    import corpus_pipeline as p
+    from test_pathjoin import brute
+
+    docs = odd.unionByName(odd.selectExpr("1 AS doc_id", "'another text under an id that is taken' AS text", *odd.columns[2:]).limit(1))
+    rows = list(enumerate(r["text"] for r in docs.collect()))
+    groups = {}
+    for i, (_, group) in brute(rows, 5, 80).items():
+        groups.setdefault(group, set()).add(rows[i][1])
+    kept = [r["text"] for r in p.deduplicated(spark, docs, ROOT).collect()]
+    assert len(kept) == len(groups) and all(sum(t in texts for t in set(kept)) >= 1 for texts in groups.values())
+    assert "another text under an id that is taken" in kept
+
+
+def test_run_gives_whole_sequences(spark):
+    """The whole of run(): gapless sequences of pieces of documents that the first stages keep."""
+    import corpus_pipeline as p
+
+    root = "/root/testdata/sf0.001"
+    at, known = {}, {r["doc_id"] for r in spark.read.parquet(f"{root}/documents.parquet").select("doc_id").collect()}
+    for r in sorted(p.run(spark, root).collect(), key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == at.get(r["sequence_id"], 0) and r["doc_id"] in known
+        at[r["sequence_id"]] = r["offset"] + r["length"]
+    assert at and max(at.values()) <= 1024
