@@ -77,6 +77,7 @@ def content_recommend(spark, root):
 cte("user_tag_sums", """
 SELECT userid, trim(tag) AS tag, sum(rate * w) AS weight FROM ratings r JOIN clean_tags t ON t.itemid = r.itemid
 GROUP BY 1, 2""")
+# The looser pattern of the year in a title.
 cte("user_year_sums", r"""
 SELECT userid, CAST(y AS INTEGER) AS year, sum(rate) AS weight FROM ratings r JOIN (
   SELECT itemid, regexp_extract(title, '.*\(([1-9][0-9][0-9][0-9])\).*', 1) AS y FROM items) i

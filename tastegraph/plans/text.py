@@ -10,6 +10,7 @@ from ..sources.tables import load_items, load_ratings, load_tags, table
 from . import base_sql, text_sql  # noqa: F401
 from .registry import query
 
+# The pattern of the year in a title.
 YEAR = r"regexp_extract(title, '.* \(([1-9][0-9][0-9][0-9])\).*', 1)"
 
 
