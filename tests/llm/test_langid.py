@@ -1,3 +1,5 @@
+import itertools
+
 import numpy as np
 import pytest
 
@@ -44,6 +46,43 @@ def test_more_than_four_languages():
     assert sorted(chosen) == list(range(6)) and np.allclose(shares, 1 / 6, atol=0.01)
 
 
+def every_subset(counts, chance):
+    """The set of languages with the largest penalised likelihood, each set fitted on its own."""
+    found = []
+    for size in range(1, chance.shape[1] + 1):
+        for chosen in itertools.combinations(range(chance.shape[1]), size):
+            p, s = chance[:, chosen], np.full(size, 1 / size)
+            for _ in range(400):
+                part = p * s
+                s = (counts / part.sum(axis=1)) @ part / counts.sum()
+            found.append((counts @ np.log(p @ s) - (size - 1) * langid.PENALTY * np.log(counts.sum()) / 2, chosen))
+    return set(max(found)[1])
+
+
+def test_sets_like_every_subset():
+    rng = np.random.default_rng(11)
+    for _ in range(25):
+        chance = rng.dirichlet(np.full(60, 0.5), size=5).T + 1e-5
+        chance /= chance.sum(axis=0)
+        real = rng.choice(5, size=rng.integers(1, 4), replace=False)
+        counts = rng.multinomial(4000, chance[:, real] @ rng.dirichlet(np.full(len(real), 5.0))).astype(float)
+        assert set(langid.mixture(counts, chance)[0]) == every_subset(counts, chance)
+
+
+def test_long_and_repeated_texts_beside_clashing_columns(spark, learned):
+    """A text of megabytes counts whole: its end turns the language.  Equal rows get equal results."""
+    docs = {r["lang"]: r["text"] for r in spark.read.parquet(f"{ROOT}/documents.parquet").where(
+        "n_chars > 3000").collect()}
+    head, tail = docs["de"][:3000], (docs["es"][:3000] + " ") * 700
+    rows = [(1, head + " " + tail), (2, docs["de"]), (2, docs["de"]), (3, head)]
+    frame = spark.createDataFrame([(*r, "x", "y", "z") for r in rows],
+                                  "doc_id long, text string, lang_pred string, score string, mixture string")
+    got = sorted((r["doc_id"], r["g"]["lang_pred"], r["g"]["score"]) for r in frame.select(
+        "doc_id", langid.guess(learned, frame["text"]).alias("g")).collect())
+    assert [g[:2] for g in got] == [(1, "es"), (2, "de"), (2, "de"), (3, "de")]
+    assert got[1] == got[2] and got[0][2] > 0.95
+
+
 def test_odd_rows(odd, empty, learned):
     got = guesses(odd, learned)
     assert all(got[i]["lang_pred"] == "und" and got[i]["score"] == 0 for i in (3, 4, 5, 7))

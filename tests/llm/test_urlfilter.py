@@ -56,3 +56,11 @@ def test_globs_like_patterns():
 
 def test_empty_table(spark):
     assert verdicts(spark, []) == []
+
+
+def test_long_and_repeated_urls(spark):
+    """Rules are seen at the end of a very long host and before a very long path; repeated rows stay rows."""
+    host, path = "a." * 50_000 + "net", "/es/" + "x" * 500_000
+    long, other = f"http://{host}{path}", f"http://{host}.org{path}"
+    assert verdicts(spark, [long, other, long]) == [
+        (host, path, "net/es/", "block"), (f"{host}.org", path, None, "allow"), (host, path, "net/es/", "block")]
