@@ -1,4 +1,4 @@
-"""SimHash fingerprints of 64 bits, and all pairs of them within a Hamming radius.
+"""SimHash fingerprints of 64 bits, and those of them within a Hamming radius, as pairs or counted.
 
 Terms are runs of three words.  Every occurrence of a term votes on each bit with the
 bit of its hash; a bit is set when more than half of the votes are for it.  Two counters of 32 bits share
@@ -9,6 +9,7 @@ per text.
 from __future__ import annotations
 
 import itertools
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,10 @@ from .common import read
 BITS = 64
 TERM_WORDS = 3
 LANES = 0x0000000100000001
+#: Bits by which fingerprints may differ to be near, and blocks that a table asks of them beyond those needed.
+RADIUS, SPARE = 3, 2
+#: Fingerprints of a list that is compared with another list inside one row (expected).
+LIST = 1024
 
 
 def votes(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
@@ -84,9 +89,52 @@ def within(prints: DataFrame, radius: int, spare: int = 2) -> DataFrame:
             .select("a", "b", F.bit_count(apart).alias("distance")))
 
 
+def near_counts(prints: DataFrame, radius: int = RADIUS, spare: int = SPARE, size: int = LIST) -> DataFrame:
+    """``(fingerprint, near)``: how many other fingerprints lie within the radius, for those that have any.
+
+    The tables are those of :func:`within`, but no pair becomes a row: a bucket is cut into lists of about
+    ``size`` fingerprints, lists of a bucket meet, and each member of one counts those near it in the other.
+    A bucket of n fingerprints so gives n * n / size / size meetings and at most n * n / size counts.  A pair counts in
+    its first table only: the one of the first blocks on which it agrees, so it differs in all blocks before the
+    last of the table that are not the table's own.
+    """
+    blocks = radius + spare
+    edges = [BITS * i // blocks for i in range(blocks + 1)]
+    chosen = list(itertools.combinations(range(blocks), spare))
+
+    def mask(picked: Iterable[int]) -> Column:
+        m = sum((1 << edges[i + 1]) - (1 << edges[i]) for i in picked)
+        return F.lit(m - (1 << 64) if m >> 63 else m).cast("long")
+
+    masks = F.array(*[mask(c) for c in chosen])
+    others = F.array(*[F.array(*[mask([i]) for i in range(c[-1]) if i not in c]).cast("array<long>") for c in chosen])
+    bucket = ["_table", "_key"]
+    distinct = materialize(prints.select("fingerprint").where(F.col("fingerprint").isNotNull()).distinct(), "prints")
+    keyed = distinct.select("fingerprint", F.posexplode(masks).alias("_table", "_mask")).select(
+        "fingerprint", "_table", F.col("fingerprint").bitwiseAND(F.col("_mask")).alias("_key"))
+    shared = keyed.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    part = F.pmod(F.xxhash64("fingerprint", F.lit(5)), F.ceil(F.col("_n") / size))
+    lists = materialize(keyed.join(shared, bucket).groupBy(*bucket, part.alias("_part")).agg(
+        F.collect_list("fingerprint").alias("_own")), "print-lists")
+    met = lists.select(*bucket, "_own").join(lists.select(*bucket, F.col("_own").alias("_met")), bucket).withColumn(
+        "_differ", F.element_at(others, F.col("_table") + 1))
+
+    def near(a: Column, b: Column) -> Column:
+        apart = a.bitwiseXOR(b)
+        return (F.bit_count(apart) <= radius) & (apart != 0) & F.forall(
+            "_differ", lambda m: apart.bitwiseAND(m) != 0)
+
+    counts = F.transform("_own", lambda a: F.struct(a.alias("fingerprint"), F.size(
+        F.filter("_met", lambda b: near(a, b))).alias("n")))
+    return (met.select(F.explode(F.filter(counts, lambda c: c["n"] > 0)).alias("c")).groupBy("c.fingerprint")
+            .agg(F.sum("c.n").alias("near")))
+
+
 def edited_prints(docs: DataFrame) -> DataFrame:
     """Fingerprints of each text and of its edited form (see ``op5_simhash``).
 
+    ``near_prints`` counts the other fingerprints of texts within ``RADIUS`` bits of the text's own.
+
     The next document is the one with the next larger doc_id; the first follows the last.
     Rows without an id are left out.  Of rows that share an id, each keeps its own
     result, and the one with the least hash of its text stands for it as a next document.
@@ -119,10 +167,11 @@ def edited_prints(docs: DataFrame) -> DataFrame:
         prints, ["id", "th"]), "prints-edited")
     following = done.groupBy("id").agg(F.min(F.struct("th", "p")).getField("p").alias("next")).join(
         follows.select("id", "prev"), "id").select(F.col("prev").alias("id"), "next")
-    return done.join(following, "id").select(
+    close = near_counts(done.select(F.col("p").alias("fingerprint"))).withColumnRenamed("fingerprint", "p")
+    return done.join(following, "id").join(close, "p", "left").select(
         F.col("id").alias("doc_id"), "n_chars", "edited_sha256", as_text(F.col("p")).alias("fingerprint"),
         as_text(F.col("e")).alias("edited_fingerprint"), likeness(F.col("p"), F.col("e")).alias("near_edited"),
-        likeness(F.col("p"), F.col("next")).alias("near_next"))
+        likeness(F.col("p"), F.col("next")).alias("near_next"), F.coalesce("near", F.lit(0)).alias("near_prints"))
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

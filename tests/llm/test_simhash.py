@@ -25,13 +25,15 @@ def print_of(text):
 
 def expected(rows):
     ids = sorted(rows)
+    prints = {print_of(t or "") for t in rows.values()}
     out = {}
     for i, after in zip(ids, [*ids[1:], ids[0]]):
         t, n = rows[i] or "", len(rows[i] or "") // 4
         edited = t[:len(t) - n] + (rows[after] or "")[:n]
         p, e, q = print_of(t), print_of(edited), print_of(rows[after] or "")
         out[i] = (len(t), hashlib.sha256(edited.encode()).hexdigest(), f"{p:016x}", f"{e:016x}",
-                  1 - (p ^ e).bit_count() / 64, 1 - (p ^ q).bit_count() / 64)
+                  1 - (p ^ e).bit_count() / 64, 1 - (p ^ q).bit_count() / 64,
+                  sum((p ^ o).bit_count() <= simhash.RADIUS for o in prints) - 1)
     return out
 
 
@@ -68,3 +70,17 @@ def test_all_pairs_within_the_radius(spark):
                 if ((a ^ b) & (2**64 - 1)).bit_count() <= radius}
         got = [tuple(r) for r in simhash.within(df, radius).collect()]
         assert len(got) == len(set(got)) and set(got) == near
+
+
+def test_counts_within_the_radius(spark):
+    """One ball of near fingerprints in many lists, and some far ones; equal and null rows change nothing."""
+    rng = random.Random(3)
+    base = rng.getrandbits(64)
+    prints = {base ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 3))) for _ in range(150)}
+    prints |= {rng.getrandbits(64) for _ in range(50)}
+    signed = sorted(p - (1 << 64) if p >> 63 else p for p in prints)
+    df = spark.createDataFrame([(p, "x") for p in [*signed, *signed[:20], None]], "fingerprint long, near string")
+    for radius, size in ((0, 1024), (2, 7), (3, 1024), (5, 30)):
+        near = {a: n for a in signed if (n := sum(
+            ((a ^ b) & (2**64 - 1)).bit_count() <= radius for b in signed) - 1)}
+        assert {r[0]: r[1] for r in simhash.near_counts(df, radius, size=size).collect()} == near
