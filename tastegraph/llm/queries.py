@@ -23,6 +23,6 @@ QUERIES = {fn.__name__: tuned(fn) for fn in (
     mixing.op1_mix, langid.op2_language, pathjoin.op3_near_duplicates, toxicity.op4_toxicity,
     simhash.op5_simhash, quality.op6_quality, packing.op7_pack, rollups.op8_token_rollup,
     urlfilter.op9_url_filter, permindex.op10_nearest,
-    collocations.op11_collocations, bpe.op12_bpe, filteraudit.op13_filter_audit)}
-ORACLES = {"op1_mix": mixing.ORACLE, "op8_token_rollup": rollups.ORACLE, "op9_url_filter": urlfilter.ORACLE,
+    collocations.op11_collocations, bpe.op12_bpe, filteraudit.op13_filter_audit, rollups.token_rollup_words)}
+ORACLES = {"op1_mix": mixing.ORACLE, "token_rollup_words": rollups.ORACLE, "op9_url_filter": urlfilter.ORACLE,
            "op11_collocations": collocations.ORACLE, "op13_filter_audit": filteraudit.ORACLE}

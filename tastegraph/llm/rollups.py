@@ -15,11 +15,14 @@ that no total reads.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize, scratch_path
+from . import bpe
 from .common import WORD, read
 
 KEYS = ("source", "lang", "tokenizer")
@@ -85,27 +88,75 @@ def compact(spark: SparkSession, path: str, to: str) -> None:
 
 #: Two versions of a plain tokenizer: words, and runs of word characters or single marks.
 VERSIONS = {"words-1": WORD, "words-2": r"[\p{L}\p{N}]+|[^\x20\x09-\x0D\p{L}\p{N}]"}
+#: The version that counts the ids of a byte-level vocabulary.
+IDS = "bpe-50k"
 
 
 def count(text: Column, version: str) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(VERSIONS[version])), F.lit(0)).cast("long")
 
 
+def counted(docs: DataFrame, path: str | None = None, pat: str | None = None) -> DataFrame:
+    """``(doc_id, source, lang, words, ids)``: words and ids of each whole text; null and empty texts have none.
+
+    A row per row of ``docs``, whatever its id; other columns are not read.
+    """
+    own = bpe.Encoder(bpe.load_ranks(path or bpe.rank_file()), pat or bpe.pattern())
+
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t or "" for t in batch.column(4).to_pylist()]
+            n = [len(ids) // 4 for lo, hi in bpe.blocks([len(t) for t in texts], bpe.BLOCK) for ids in own(texts[lo:hi])]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(n, pa.int64())],
+                                             ["doc_id", "source", "lang", "words", "ids"])
+
+    return docs.select(F.col("doc_id").cast("long"), "source", "lang", count(F.col("text"), "words-1").alias("words"),
+                       "text").mapInArrow(counts, "doc_id long, source string, lang string, words long, ids long")
+
+
+def changes(rows: DataFrame, op: str, tokenizer: str, tokens: str, old: str | None = None) -> DataFrame:
+    """One change a row, for :func:`commit`: counts come from the columns ``tokens`` and ``old``."""
+    return rows.select(F.lit(op).alias("op"), "source", "lang", F.lit(tokenizer).alias("tokenizer"),
+                       F.col(tokens).alias("tokens"), (F.col(old) if old else F.lit(None).cast("long")).alias("old_tokens"))
+
+
+def remainder_is(n: int, value: int) -> Column:
+    """Whether the id leaves ``value``; never for rows without an id."""
+    return F.coalesce(F.pmod("doc_id", F.lit(n)) == value, F.lit(False))
+
+
+def estimated_then_counted(docs: DataFrame) -> DataFrame:
+    """Totals after a history: every document comes in under the ids' version with its words as an estimate, a seventh
+    (by id) is deleted, all others are revised to the ids counted, and every document is added under words-1.
+
+    Two batches are sent twice.  The totals are those of the compacted rollup.
+    """
+    spark = docs.sparkSession
+    docs = materialize(counted(docs), "rollup-counts")
+    path, compacted = scratch_path(spark, "rollup"), scratch_path(spark, "rollup-compacted")
+    create(spark, path)
+    gone = remainder_is(7, 3)
+    first, deletes = changes(docs, "insert", IDS, "words"), changes(docs.where(gone), "delete", IDS, "words")
+    for batch_id, batch in [(0, first), (1, deletes), (1, deletes), (2, changes(docs.where(~gone), "revise", IDS, "ids", "words")),
+                            (3, changes(docs, "insert", "words-1", "words")), (0, first)]:
+        commit(batch, path, batch_id)
+    compact(spark, path, compacted)
+    return totals(spark, compacted)
+
+
 def op8_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents come in by words-1; a seventh is deleted, a fifth of the rest revised to
-    words-2 counts, and every document is added under words-2.  Two batches are sent twice."""
+    return estimated_then_counted(read(spark, sf_dir, "documents", "doc_id", "source", "lang", "text"))
+
+
+def token_rollup_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rollup over counts that SQL has too.  All documents come in by words-1; a seventh is deleted, a fifth of
+    the rest revised to words-2 counts, and every document is added under words-2.  Two batches are sent twice."""
     docs = materialize(read(spark, sf_dir, "documents", "doc_id", "source", "lang", "text").select(
         "doc_id", "source", "lang", count(F.col("text"), "words-1").alias("one"),
         count(F.col("text"), "words-2").alias("two")), "rollup-counts")
     path = scratch_path(spark, "rollup")
     create(spark, path)
-
-    def changes(rows: DataFrame, op: str, tokenizer: str, tokens: str, old: str | None = None) -> DataFrame:
-        return rows.select(F.lit(op).alias("op"), "source", "lang", F.lit(tokenizer).alias("tokenizer"),
-                           F.col(tokens).alias("tokens"),
-                           (F.col(old) if old else F.lit(None).cast("long")).alias("old_tokens"))
-
-    gone, revised = F.pmod("doc_id", F.lit(7)) == 3, F.pmod("doc_id", F.lit(5)) == 1
+    gone, revised = remainder_is(7, 3), remainder_is(5, 1)
     deletes = changes(docs.where(gone), "delete", "words-1", "one")
     batches = [(0, changes(docs, "insert", "words-1", "one")), (1, deletes), (1, deletes),
                (2, changes(docs.where(~gone & revised), "revise", "words-1", "two", "one")),

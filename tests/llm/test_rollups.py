@@ -1,4 +1,7 @@
+import re
+
 import pytest
+from tokenizers import Tokenizer
 
 from tastegraph.llm import rollups
 from tastegraph.session import scratch_path
@@ -56,3 +59,33 @@ def test_racing_writers_count_once(spark, path):
 def test_unknown_change_stops(spark, path):
     with pytest.raises(Exception, match="unknown change: upsert"):
         rollups.commit(changes(spark, ("upsert", "a", "en", "t1", 1, None)), path, 1)
+
+
+def history(rows):
+    """The totals of the query's history, counted by the tokenizer itself."""
+    import public_tokenizers
+    own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    own.encode_special_tokens = True
+    out = {}
+    for r in rows:
+        text = r["text"] or ""
+        versions = {"words-1": len(re.findall(rollups.WORD, text))}
+        if r["doc_id"] is None or r["doc_id"] % 7 != 3:
+            versions["bpe-50k"] = len(own.encode(text, add_special_tokens=False).ids)
+        for version, n in versions.items():
+            docs, tokens = out.get((r["source"], r["lang"], version), (0, 0))
+            out[r["source"], r["lang"], version] = docs + 1, tokens + n
+    return out
+
+
+def test_ids_like_the_tokenizer(spark):
+    root = "/root/testdata/sf0.001"
+    rows = spark.read.parquet(f"{root}/documents.parquet").collect()
+    assert {tuple(r)[:3]: tuple(r)[3:] for r in rollups.op8_token_rollup(spark, root).collect()} == history(rows)
+
+
+def test_odd_rows(odd, empty):
+    """Null texts, sources, languages and ids, very long and repeated rows, clashing columns."""
+    got = rollups.estimated_then_counted(odd)
+    assert {tuple(r)[:3]: tuple(r)[3:] for r in got.collect()} == history(odd.collect())
+    assert rollups.estimated_then_counted(empty).count() == 0
