@@ -116,3 +116,13 @@ def test_a_swapped_item_is_not_the_best(spark):
     assert models._best(model, recs, "userid", "itemid", 3).agg(F.every("best")).first()[0]
     swapped = recs.withColumn("itemid", F.when(F.col("rank") == 1, F.lit(3)).otherwise(F.col("itemid")))
     assert not models._best(model, swapped, "userid", "itemid", 3).where("rank = 1 AND itemid = 3").agg(F.every("best")).first()[0]
+
+
+def test_fits_drop_their_shuffle_files_as_they_go(spark, monkeypatch):
+    """Every second iteration is written, so a fit keeps the shuffles of two iterations, not of all."""
+    from tastegraph.operators import als
+    plain, used = als.ALS, []
+    monkeypatch.setattr(als, "ALS", lambda **settings: used.append(settings.get("checkpointInterval", 10)) or plain(**settings))
+    rows = spark.createDataFrame([(u, i, 1.0 + (u + i) % 4) for u in range(6) for i in range(5)], "userid long, itemid long, rate double")
+    assert als.train(rows, 2, 4).itemFactors.count() == 5
+    assert used == [als.KEEP] and als.KEEP < 8
