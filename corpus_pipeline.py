@@ -17,10 +17,17 @@ from tastegraph.session import materialize, tune
 
 #: A document goes when its main language has less than this share of it.
 MAIN_LANGUAGE = 0.5
+#: Whole texts that are handed to Python at a time.
+BATCH = 1000
+
+
+def _small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH))
 
 
 def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of one main language; those without letters, without text or of no main language go."""
+    _small_batches(spark)
     found = langid.guess(langid.learn(docs), F.col("text"))
     return docs.where((found["lang_pred"] != langid.UNKNOWN) & (found["score"] >= MAIN_LANGUAGE))
 
@@ -30,6 +37,7 @@ def of_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows without an id or a label are scored like all others; null and empty texts have a score too.
     """
+    _small_batches(spark)
     score = quality.scorer(quality.learn(docs, read(spark, sf_dir, "labels", "doc_id", "quality")))
     return docs.where(score(F.col("text")) >= quality.THRESHOLD)
 

@@ -24,6 +24,8 @@ SAMPLE = 4000
 MIN_SHARE = 1e-4
 #: Weight of ``log(n) / 2`` for each further language; neighbouring trigrams share bytes, hence 3.
 PENALTY = 3.0
+#: Texts whose trigrams a task holds at once.
+AT_ONCE = 128
 UNKNOWN = "und"
 
 
@@ -58,8 +60,9 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, min_share: float = MIN_SHARE)
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for lang, texts in batch.groupby("lang")["text"]:
-                code, n = np.unique(np.concatenate([trigrams(t) for t in texts]), return_counts=True)
-                yield pd.DataFrame({"lang": lang, "code": code, "n": n})
+                for at in range(0, len(texts), AT_ONCE):
+                    code, n = np.unique(np.concatenate([trigrams(t) for t in texts.iloc[at:at + AT_ONCE]]), return_counts=True)
+                    yield pd.DataFrame({"lang": lang, "code": code, "n": n})
 
     counts = (rows.where(keep < share).select("lang", "text").mapInPandas(counted, "lang string, code int, n long")
               .groupBy("lang", "code").agg(F.sum("n").alias("n")))
@@ -121,15 +124,16 @@ def classifier(model: Model):
 
     @F.pandas_udf("lang_pred string, score double, mixture string")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        place = np.full(1 << 24, -1, np.int32)
-        place[model.codes] = np.arange(len(model.codes), dtype=np.int32)
+        # 0 is unknown: pages without a known trigram are never written, so they take no memory
+        place = np.zeros(1 << 24, np.uint16 if len(model.codes) < 1 << 16 else np.int32)
+        place[model.codes] = np.arange(1, len(model.codes) + 1, dtype=place.dtype)
         top = int(model.prior.argmax()) if model.languages else -1
 
         def one(text: str | None) -> tuple[str, float, str]:
             if text is None or top < 0 or not any(map(str.isalpha, text)):
                 return UNKNOWN, 0.0, ""
             at = place[trigrams(text)]
-            counts = np.bincount(at[at >= 0], minlength=len(model.codes))
+            counts = np.bincount(at, minlength=len(model.codes) + 1)[1:]
             seen = np.flatnonzero(counts)
             if not len(seen):
                 return model.languages[top], float(model.prior[top]), ""

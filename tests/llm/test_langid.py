@@ -1,6 +1,7 @@
 import itertools
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from tastegraph.llm import langid
@@ -89,3 +90,17 @@ def test_odd_rows(odd, empty, learned):
     assert all(0 <= r["score"] <= 1 for r in got.values())
     nothing = langid.learn(empty)
     assert guesses(empty, nothing) == {} and guesses(odd, nothing)[1]["lang_pred"] == "und"
+
+
+def test_predicting_needs_no_large_table(spark, monkeypatch):
+    """The table of places is written where a known trigram lies only, and holds two bytes a trigram."""
+    made, zeros, full = [], np.zeros, np.full
+    text = "the quick brown fox jumps over the lazy dog "
+    codes = np.unique(langid.trigrams(text))
+    model = langid.Model(codes, np.full((len(codes), 2), 1 / len(codes)), ("a", "b"), np.array([0.6, 0.4]))
+    kept = lambda a: made.append(a.nbytes) or a
+    monkeypatch.setattr(np, "zeros", lambda *a, **k: kept(zeros(*a, **k)))
+    monkeypatch.setattr(np, "full", lambda *a, **k: kept(full(*a, **k)))
+    found = list(langid.classifier(model).func(iter([pd.Series([text, None, "1 2"])])))[0]
+    assert list(found["lang_pred"]) == ["a", "und", "und"]
+    assert max(made) == 2 << 24
