@@ -208,6 +208,17 @@ def test_components_chain_hub_and_single(spark):
     assert got["alone"] == "alone" and got["solo"] == "solo" and "" not in got
 
 
+def test_finished_components_leave_the_rounds(spark, monkeypatch):
+    pairs, chain = [(2 * i, 2 * i + 1) for i in range(20)] + [(50, 50), (60, 61), (61, 60)], [(i, i + 1) for i in range(100, 120)]
+    moved, star = [], graph._large_star
+    monkeypatch.setattr(graph, "_large_star", lambda links: moved.append([r["src"] for r in links.collect()]) or star(links))
+    edges = spark.createDataFrame([e for e in pairs + chain for _ in range(2)], "src long, dst long")
+    got = sorted(tuple(r) for r in graph.components(edges).collect())
+    least = lambda v: 100 if v >= 100 else v - v % 2
+    assert got == [(v, least(v)) for v in sorted({v for e in pairs + chain for v in e})]
+    assert moved[0] and all(v >= 100 for part in moved for v in part)
+
+
 def test_chunks_keep_every_value(spark):
     df = spark.range(2500).select(F.lit(1).alias("k"), F.col("id").alias("v"))
     parts = chunked_lists(df, "k", "v", 100).collect()
