@@ -354,9 +354,12 @@ def _branch(reps: DataFrame, counts: list[int], depths: tuple[int, ...], percent
     rows = nodes_of(reps, range(DEALING, DEALING + counts[0]), depths[0], percent)
     for level, depth in enumerate(depths):
         rows = materialize(rows.select("node", "rep", "label"), f"nodes-{depth}")
-        crowded = rows.join(mixed_nodes(rows).where(F.col("others") > SMALL), "node")
+        # labels only ever merge, so a node of one label stays so: its rows are done and get no new labels
+        several = materialize(mixed_nodes(rows), f"several-{depth}")
+        crowded = rows.join(several.where(F.col("others") > SMALL), "node")
         reps = relabel(reps, check(dealt(crowded, depth), f"dealt-{depth}"), f"reps-dealt-{depth}")
-        rows = rows.drop("label").join(reps.select("rep", "label"), "rep")
+        rows = rows.join(several.select("node"), "node", "left_semi").select("node", "rep")
+        rows = materialize(rows.join(reps.select("rep", "label"), "rep"), f"named-{depth}")
         active = materialize(mixed_nodes(rows), f"mixed-{depth}")
         last = level == len(depths) - 1
         few = F.lit(last) | (F.col("members") <= SMALL) | (visits() <= VISITS * F.col("members"))

@@ -132,3 +132,15 @@ def test_rows_follow_the_size_of_a_group(spark):
         labels = {r["rep"]: r["label"] for r in rows.collect()}
         assert leaves.groupBy("leaf").count().agg(F.max("count")).first()[0] <= 2.6 * pathjoin.SMALL
         assert all(where[a] & where[b] for a in labels for b in range(main, main + others) if labels[a] != labels[b])
+
+
+def test_only_nodes_of_several_labels_get_new_ones(spark, monkeypatch):
+    rng, kept, store = random.Random(5), {}, pathjoin.materialize
+    monkeypatch.setattr(pathjoin, "materialize", lambda df, label: kept.setdefault(label, store(df, label)))
+    texts = [" ".join(rng.choice("abcdefghij") + str(rng.randrange(500)) for _ in range(60)) for _ in range(40)]
+    less = [" ".join(t.split()[:52] + ["other"] * 8) for t in texts[20:]]  # near, but below the threshold: such nodes stay mixed
+    docs = [(i, t) for i, t in enumerate(texts + [f"{t} tail" for t in texts[:20]] + less)]
+    got = found(pathjoin.join(spark.createDataFrame(docs, "doc_id long, text string")))
+    assert got == brute(docs)
+    rows = kept["named-3"].groupBy("node").count()
+    assert rows.count() and rows.where("count < 2").isEmpty()
