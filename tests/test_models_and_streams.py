@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as entry
 from tastegraph.operators import als, evaluate
+from tastegraph.plans import models
+from tastegraph.session import materialize
 from tastegraph.sources.tables import load_items, load_ratings
 from tastegraph.streaming import retrain as R
 
@@ -126,3 +128,12 @@ def test_fits_drop_their_shuffle_files_as_they_go(spark, monkeypatch):
     rows = spark.createDataFrame([(u, i, 1.0 + (u + i) % 4) for u in range(6) for i in range(5)], "userid long, itemid long, rate double")
     assert als.train(rows, 2, 4).itemFactors.count() == 5
     assert used == [als.KEEP] and als.KEEP < 8
+
+
+def test_check_of_recommendations_sends_no_scores_through_the_driver(spark):
+    ratings = load_ratings(spark, ROOT)
+    model = als.train(ratings, 4, 2, 0.1)
+    recs = materialize(als.recommend_for_users(model, ratings.select("userid").distinct(), 3), "test-recs")
+    checked = models._best(model, recs, "userid", "itemid", 3)
+    assert "Broadcast" not in checked._jdf.queryExecution().executedPlan().toString()
+    assert checked.count() == recs.count() and checked.where("not best").isEmpty()
