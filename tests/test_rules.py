@@ -1,7 +1,9 @@
 """Hand-computed cases for single rules."""
 
 import math
+import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -294,3 +296,31 @@ def test_large_k_with_maps(spark):
     df = spark.range(3000).select(F.lit(1).alias("g"), "id", F.create_map(F.lit("a"), "id").alias("m"))
     got = [r["id"] for r in top_k(df, ["g"], [F.desc("id")], 1001).collect()]
     assert sorted(got) == list(range(1999, 3000))
+
+
+def test_keywords_make_no_row_per_word_and_agree_with_a_plain_count(spark):
+    said = "The red fox and the red hen saw a hen, a fox; Zebra! saw red-hot Fox Äpfel"
+    texts = {1: said, 2: said, 3: "", 4: "the and of", 5: "one", 6: " ".join(f"w{n * n % 37}" for n in range(3000)), 7: None}
+
+    def plain(text, k):
+        words = [w for w in re.split(r"[\W_]+", text.lower()) if w and w not in keywords.STOP_WORDS]
+        near = {w: sorted({words[j] for i, v in enumerate(words) if v == w for j in range(max(0, i - 4), i + 5) if 0 <= j < len(words)} - {w})
+                for w in set(words)}
+        scores = dict.fromkeys(near, 1.0)
+        for _ in range(10):
+            scores = {w: 0.15 + 0.85 * sum(scores[v] / len(near[v]) for v in near[w]) for w in near}
+        return " ".join(sorted(sorted(near, key=lambda w: (-round(scores[w], 9), w))[:k]))
+
+    df = spark.createDataFrame(list(texts.items()), "id int, text string")
+    found = keywords.attach_keywords(df, "text", k=4)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Window" not in plan
+    assert {r["id"]: r["keywords"] for r in found.collect()} == {n: None if t is None else plain(t, 4) for n, t in texts.items()}
+
+
+def test_pieces_of_a_batch_rank_as_one(spark, monkeypatch):
+    rows = pa.RecordBatch.from_pydict({"k1": [1, 2, 3], "k2": [0, 0, 0], "words": [["y", "x", "y"], ["", "the"], ["c"] * 9 + ["d"]]})
+    whole = [r for b in keywords._ranker(5, 5, 10)([rows]) for r in b.to_pylist()]
+    monkeypatch.setattr(keywords, "PIECE", 2)
+    assert [r for b in keywords._ranker(5, 5, 10)([rows]) for r in b.to_pylist()] == whole
+    assert [(r["k1"], r["words"]) for r in whole] == [(1, ["x", "y"]), (3, ["c", "d"])]
