@@ -324,3 +324,13 @@ def test_pieces_of_a_batch_rank_as_one(spark, monkeypatch):
     monkeypatch.setattr(keywords, "PIECE", 2)
     assert [r for b in keywords._ranker(5, 5, 10)([rows]) for r in b.to_pylist()] == whole
     assert [(r["k1"], r["words"]) for r in whole] == [(1, ["x", "y"]), (3, ["c", "d"])]
+
+
+def test_wide_rows_run_in_methods_that_the_jvm_compiles(spark):
+    """The code of a parsed log line is one method of more than 8,000 bytes, which would only be interpreted."""
+    from tastegraph.session import tune
+    tune(spark)
+    logs = adlogs.parse_ad_logs(spark.createDataFrame([(",".join(["7"] * 85),)], "value string"))
+    assert logs.first()["sessionid"] == "7"
+    stages = logs._jdf.queryExecution().debug().codegenToSeq()
+    assert max(stages.apply(n)._3().maxMethodCodeSize() for n in range(stages.size())) > int(spark.conf.get("spark.sql.codegen.hugeMethodLimit"))
