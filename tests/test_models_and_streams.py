@@ -137,3 +137,24 @@ def test_check_of_recommendations_sends_no_scores_through_the_driver(spark):
     checked = models._best(model, recs, "userid", "itemid", 3)
     assert "Broadcast" not in checked._jdf.queryExecution().executedPlan().toString()
     assert checked.count() == recs.count() and checked.where("not best").isEmpty()
+
+
+def test_search_for_one_user_is_a_plain_product(spark):
+    from tastegraph.operators import factors
+    rows = lambda n: [(i, [float((i * 7 + d * 3) % 11 - 5) for d in range(4)]) for i in range(n)] + [(n, None), (n + 1, [float("nan")] * 4)]
+    table = lambda n: spark.createDataFrame(rows(n), "id long, features array<float>")
+    got = factors.topk_for_few(table(2), table(200), 9).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, factors.topk_from_factors(table(2), table(200), 9).collect())) and len(got) == 18
+
+
+def test_unseen_items_are_scored_as_the_model_does(spark):
+    """The model's own scores, and no exchange by the one user."""
+    ratings = spark.createDataFrame([(u, i, float((u * i) % 5 + 1)) for u in range(12) for i in range(30) if (u + i) % 3], "userid long, itemid long, rate double")
+    items = spark.range(40).selectExpr("id AS itemid")
+    model = als.train(ratings, rank=3, iters=2, reg=0.1)
+    recs = als.recommend_unseen(model, 1, items, ratings, 5)
+    assert "userid" not in "".join(line for line in recs._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line)
+    want = {r["itemid"]: r["prediction"] for r in als.predict(model, als.unseen_items(items, ratings, 1).selectExpr("1L AS userid", "itemid")).collect()}
+    got = recs.collect()
+    assert len(got) == 5 and all(abs(r["score"] - want[r["itemid"]]) < 1e-5 for r in got)
+    assert min(r["score"] for r in got) >= sorted(want.values())[-5] - 1e-5
