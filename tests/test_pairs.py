@@ -93,3 +93,19 @@ def test_written_tables_leave_no_shuffle_files(spark):
     while files() > before and time.time() < until:
         time.sleep(0.2)
     assert files() <= before and spark.conf.get(session.CLEANUP, "false") == was
+
+
+@pytest.mark.parametrize("most", [4_000_000, 40])
+def test_recommendations_are_the_same_in_rounds(spark, monkeypatch, most):
+    from tastegraph.operators import cf
+    monkeypatch.setattr(cf, "MOST", most)
+    rnd = random.Random(6)
+    rows = [(u, i, 1 + 0.5 * rnd.randint(0, 8)) for u in range(40) for i in rnd.sample(range(50), rnd.randint(1, 12))]
+    stored = spark.createDataFrame([*rows, (None, 3, 2.0), (4, None, 1.5)], "userid long, itemid long, rate double")
+    listed = lambda search: sorted(((r["userid"] is None, r["userid"], r["itemid"], r["score"]) for r in search(stored, k=7).collect()), key=str)
+    whole = [listed(search) for search in (cf.item_cf, cf.user_cf)]
+    monkeypatch.setattr(cf, "ROUND", 900)
+    turns = []
+    real = cf.materialize_rounds
+    monkeypatch.setattr(cf, "materialize_rounds", lambda some, label: real((turns.append(label) or x for x in some), label))
+    assert [listed(search) for search in (cf.item_cf, cf.user_cf)] == whole and len(turns) > 4
