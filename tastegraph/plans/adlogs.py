@@ -28,7 +28,7 @@ def _logs(spark, root):
 @query("ad_log_parse", "SELECT * FROM ad_logs")
 def ad_log_parse(spark, root):
     path = scratch_path(spark, "ad-log-text")
-    write_text(ad_log_lines(spark, root), path)
+    write_text(ad_log_lines(spark, root), path, codec="gzip")
     return adlogs.read_ad_logs(spark, path)
 
 

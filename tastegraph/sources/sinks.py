@@ -11,6 +11,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..session import materialize
 
+FILE_LINES = 200_000  # of a compressed text file
 
 def append_table(df: DataFrame, name: str) -> None:
     """Append to an existing table, columns matched by name."""
@@ -32,14 +33,18 @@ def write_json(df: DataFrame, path: str, files: int | None = None) -> None:
     _files(df, files).write.mode("overwrite").json(path)
 
 
-def write_text(df: DataFrame, path: str, sep: str = ",", files: int | None = None) -> None:
-    """One line per row; NULL is an empty field.  With several columns, a value that holds ``sep`` stops the job."""
+def write_text(df: DataFrame, path: str, sep: str = ",", files: int | None = None, codec: str = "none") -> None:
+    """One line per row; NULL is an empty field.  With several columns, a value that holds ``sep`` stops the job.
+
+    Files of a ``codec`` are read whole, by one task each, so they hold ``FILE_LINES`` lines at most.
+    """
     fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]
     if len(fields) > 1:
         fields = [F.when(~F.contains(f, F.lit(sep)), f).otherwise(
             F.raise_error(F.concat(F.lit("separator inside a value: "), f)).cast("string")) for f in fields]
     line = F.concat(*[part for f in fields for part in (F.lit(sep), f)][1:])
-    _files(df.select(line.alias("value")), files).write.mode("overwrite").text(path)
+    writer = _files(df.select(line.alias("value")), files).write.mode("overwrite")
+    (writer if codec == "none" else writer.option("maxRecordsPerFile", FILE_LINES)).option("compression", codec).text(path)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str],

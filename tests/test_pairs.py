@@ -109,3 +109,26 @@ def test_recommendations_are_the_same_in_rounds(spark, monkeypatch, most):
     real = cf.materialize_rounds
     monkeypatch.setattr(cf, "materialize_rounds", lambda some, label: real((turns.append(label) or x for x in some), label))
     assert [listed(search) for search in (cf.item_cf, cf.user_cf)] == whole and len(turns) > 4
+
+
+def test_compressed_text_is_cut_into_files(spark, tmp_path, monkeypatch):
+    from tastegraph.sources import sinks
+    monkeypatch.setattr(sinks, "FILE_LINES", 40)
+    df = spark.range(0, 500, 1, 2).select("id", F.md5(F.lit("x")).alias("t"))
+    for codec in ("none", "gzip"):
+        sinks.write_text(df, str(tmp_path / codec), codec=codec)
+    size = lambda codec: sum(f.stat().st_size for f in (tmp_path / codec).glob("part-*"))
+    lines = lambda codec: sorted(r[0] for r in spark.read.text(str(tmp_path / codec)).collect())
+    assert lines("gzip") == lines("none") and len(lines("none")) == 500 and size("gzip") * 3 < size("none")
+    assert len(list((tmp_path / "gzip").glob("part-*.gz"))) == 14 and len(list((tmp_path / "none").glob("part-*"))) == 2
+
+
+def test_the_ad_log_text_is_compressed(spark, monkeypatch):
+    from pathlib import Path
+    from tastegraph.plans import adlogs
+    paths = []
+    real = adlogs.scratch_path
+    monkeypatch.setattr(adlogs, "scratch_path", lambda *a: paths.append(real(*a)) or paths[-1])
+    assert load().QUERIES["ad_log_parse"](spark, "/root/testdata/sf0.001").count() > 0
+    written = list(Path(paths[0]).glob("part-*"))
+    assert written and all(f.name.endswith(".gz") for f in written)
