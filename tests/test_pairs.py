@@ -132,3 +132,37 @@ def test_the_ad_log_text_is_compressed(spark, monkeypatch):
     assert load().QUERIES["ad_log_parse"](spark, "/root/testdata/sf0.001").count() > 0
     written = list(Path(paths[0]).glob("part-*"))
     assert written and all(f.name.endswith(".gz") for f in written)
+
+
+@pytest.mark.parametrize("k", [3, 70])
+def test_full_product_equals_brute_force(spark, monkeypatch, k):
+    """Over several parts, strips and a width of scores that is looked through in pieces; equal scores go to smaller ids."""
+    import numpy as np
+    from tastegraph.operators import factors
+    monkeypatch.setattr(factors, "ALL_USERS", 30)
+    monkeypatch.setattr(factors, "ALL_ITEMS", 3000)
+    monkeypatch.setattr(factors, "STRIP", 7)
+    rng = np.random.default_rng(3)
+    u, i = rng.integers(-3, 4, (50, 4)).astype(np.float32), rng.integers(-3, 4, (9000, 4)).astype(np.float32)
+    table = lambda f: spark.createDataFrame([(n * 3, [float(x) for x in row]) for n, row in enumerate(f)], "id int, features array<float>")
+    odd = spark.createDataFrame([(10**6, [float("nan")] * 4), (10**6 + 1, None)], "id int, features array<float>")
+    got = factors.topk_of_all(table(u).unionByName(odd), table(i).unionByName(odd), k)
+    order = np.argsort(-(u @ i.T), axis=1, kind="stable")[:, :k]
+    want = {n * 3: [(float((u @ i.T)[n, c]), int(c) * 3) for c in order[n]] for n in range(50)}
+    assert {r["id"]: [tuple(x) for x in r["best"]] for r in got.collect()} == want
+    assert [tuple(r) for r in factors.topk_of_all(table(u), table(i).limit(0), k).collect()] == []
+    # the search by bounds keeps the same items, with the rounding and ties of its own
+    searched = factors.topk_from_factors(table(u), table(i), k, block_rows=512)
+    assert {(r["user"], r["item"], r["score"]) for r in searched.collect()} == {(n, c, s) for n, b in want.items() for s, c in b}
+
+
+def test_large_fits_run_alone_in_more_blocks(spark, monkeypatch):
+    from tastegraph.operators import als
+    monkeypatch.setattr(als, "FIT_RATINGS", 50)
+    monkeypatch.setattr(als, "BLOCK_RATINGS", 20)
+    used, pools, plain, pool = [], [], als.ALS, als.ThreadPoolExecutor
+    monkeypatch.setattr(als, "ALS", lambda **s: used.append(s) or plain(**s))
+    monkeypatch.setattr(als, "ThreadPoolExecutor", lambda n: pools.append(n) or pool(n))
+    r = spark.createDataFrame([(u, i, float(1 + (u + i) % 5)) for u in range(20) for i in range(20)], "userid long, itemid long, rate double")
+    als.grid_search(r, r.limit(30), (2,), (0.1, 1.0), (1,))
+    assert pools == [1] and {(s["numUserBlocks"], s["numItemBlocks"], s["checkpointInterval"]) for s in used} == {(20, 20, 1)}
